@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only a session on one machine may do without the setting.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        folder = tempfile.mkdtemp(prefix="asiento-")
+        spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 

@@ -55,7 +55,7 @@ def register(name: str, sql: str) -> Callable[[Query], Query]:
 
 def _invoice_branch(branch: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tables = fixtures.tables(spark, sf_dir)
+        tables = fixtures.tables(spark, sf_dir, fixtures.INVOICE_TABLES)
         return invoice_rows(tables, invoice_calendar(spark), CTX, [branch]).drop(*ROW_COLUMNS)
 
     return query
@@ -70,7 +70,7 @@ for number, name in enumerate(INVOICE_BRANCHES, start=1):
 
 @register("inv_9_post", oracle.branch("SELECT * FROM posted_invoice", oracle.INVOICE_MONTHS))
 def inv_9_post(spark, sf_dir):
-    tables = fixtures.tables(spark, sf_dir)
+    tables = fixtures.tables(spark, sf_dir, fixtures.INVOICE_TABLES)
     return post_invoices(tables, invoice_calendar(spark), CTX).drop(*ROW_COLUMNS)
 
 
@@ -79,7 +79,7 @@ def inv_9_post(spark, sf_dir):
     oracle.branch("SELECT * FROM posted_invoice", oracle.one_slice(*INVOICE_SLICE)),
 )
 def inv_9_post_one_slice(spark, sf_dir):
-    tables = fixtures.tables(spark, sf_dir)
+    tables = fixtures.tables(spark, sf_dir, fixtures.INVOICE_TABLES)
     return post_invoices(tables, SliceSet.of(spark, [INVOICE_SLICE]), CTX).drop(*ROW_COLUMNS)
 
 
@@ -92,7 +92,7 @@ def inv_9_post_one_slice(spark, sf_dir):
 )
 def inv_post_all_months(spark, sf_dir):
     """Every slice that occurs in the invoice lines, tagged with its number."""
-    tables = fixtures.tables(spark, sf_dir)
+    tables = fixtures.tables(spark, sf_dir, fixtures.INVOICE_TABLES)
     slices = SliceSet.present((tables.invoice_line, "de_fecha", "de_cod_empresa", "de_estado"))
     return post_invoices(tables, slices, CTX).drop("slice_fecha", "slice_empresa")
 
@@ -102,7 +102,7 @@ def inv_post_all_months(spark, sf_dir):
 
 def _payment_branch(branch: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tables = fixtures.tables(spark, sf_dir)
+        tables = fixtures.tables(spark, sf_dir, fixtures.PAYMENT_TABLES)
         return payment_rows(tables, payment_calendar(spark), CTX, [branch]).drop(*ROW_COLUMNS)
 
     return query
@@ -127,14 +127,14 @@ for number, name in enumerate(PAYMENT_ORDER, start=1):
 @register("pay_20_rows", oracle.branch("SELECT * FROM payment_row", oracle.PAYMENT_DAYS))
 def pay_20_rows(spark, sf_dir):
     """All branches, before the purges."""
-    tables = fixtures.tables(spark, sf_dir)
+    tables = fixtures.tables(spark, sf_dir, fixtures.PAYMENT_TABLES)
     return payment_rows(tables, payment_calendar(spark), CTX).drop(*ROW_COLUMNS)
 
 
 @register("pay_20_post", oracle.branch("SELECT * FROM posted_payment", oracle.PAYMENT_DAYS))
 def pay_20_post(spark, sf_dir):
     """All branches, less what each run purges of its own rows."""
-    tables = fixtures.tables(spark, sf_dir)
+    tables = fixtures.tables(spark, sf_dir, fixtures.PAYMENT_TABLES)
     return posting.post_payments(tables, payment_calendar(spark), CTX).drop(*ROW_COLUMNS)
 
 
@@ -143,7 +143,7 @@ def pay_20_post(spark, sf_dir):
     oracle.branch("SELECT * FROM posted_payment", oracle.one_slice(*PAYMENT_SLICE)),
 )
 def pay_20_post_one_slice(spark, sf_dir):
-    tables = fixtures.tables(spark, sf_dir)
+    tables = fixtures.tables(spark, sf_dir, fixtures.PAYMENT_TABLES)
     slices = SliceSet.of(spark, [PAYMENT_SLICE])
     return posting.post_payments(tables, slices, CTX).drop(*ROW_COLUMNS)
 
@@ -154,7 +154,7 @@ def pay_20_post_one_slice(spark, sf_dir):
 )
 def pay_20_post_one_slice_company_3(spark, sf_dir):
     """Another company's card rates, also on the second system's forms."""
-    tables = fixtures.tables(spark, sf_dir)
+    tables = fixtures.tables(spark, sf_dir, fixtures.PAYMENT_TABLES)
     slices = SliceSet.of(spark, [("2024-01-05", 3, "G")])
     return posting.post_payments(tables, slices, CTX).drop(*ROW_COLUMNS)
 
@@ -168,7 +168,7 @@ def pay_20_post_one_slice_company_3(spark, sf_dir):
 )
 def pay_post_backfill(spark, sf_dir):
     """Every slice that occurs in the payment forms or the payments, with its number."""
-    tables = fixtures.tables(spark, sf_dir)
+    tables = fixtures.tables(spark, sf_dir, fixtures.PAYMENT_TABLES)
     slices = SliceSet.present(
         (tables.payment_form, "fp_fecha", "fp_cod_empresa", "fp_estado"),
         (tables.payment, "p_fecha", "p_cod_empresa", "p_estado"),
@@ -190,7 +190,7 @@ def pay_post_backfill(spark, sf_dir):
     ),
 )
 def snk_01_replace_invoices(spark, sf_dir):
-    tables = fixtures.tables(spark, sf_dir)
+    tables = fixtures.tables(spark, sf_dir, fixtures.INVOICE_TABLES)
     rows = post_invoices(tables, SliceSet.of(spark, [INVOICE_SLICE]), CTX)
     cleared = state.clear_invoices(fixtures.initial_journal(spark, sf_dir), INVOICE_SLICE[1])
     return state.append_rows(cleared, rows)
@@ -207,7 +207,7 @@ def snk_01_replace_invoices(spark, sf_dir):
     ),
 )
 def snk_02_replace_payments(spark, sf_dir):
-    tables = fixtures.tables(spark, sf_dir)
+    tables = fixtures.tables(spark, sf_dir, fixtures.PAYMENT_TABLES)
     rows = payment_rows(tables, SliceSet.of(spark, [PAYMENT_SLICE]), CTX)
     cleared = state.clear_payments(fixtures.initial_journal(spark, sf_dir), PAYMENT_SLICE[1])
     return state.append_rows(cleared, rows)
@@ -223,7 +223,7 @@ def snk_02_replace_payments(spark, sf_dir):
     ),
 )
 def snk_03_purge_type5(spark, sf_dir):
-    tables = fixtures.tables(spark, sf_dir)
+    tables = fixtures.tables(spark, sf_dir, ["payment"])
     purged = state.purged_payments(tables.payment, SliceSet.of(spark, [PAYMENT_SLICE]))
     return state.purge_documents(fixtures.initial_journal(spark, sf_dir), purged)
 
@@ -250,7 +250,7 @@ def _payment_state(before: str) -> dict[str, str]:
 )
 def snk_invoices_state(spark, sf_dir):
     """The journal after 498 invoice runs, in order."""
-    tables = fixtures.tables(spark, sf_dir)
+    tables = fixtures.tables(spark, sf_dir, fixtures.INVOICE_TABLES)
     journal = fixtures.initial_journal(spark, sf_dir)
     return posting.invoices_state(journal, tables, invoice_calendar(spark), CTX)
 
@@ -265,7 +265,7 @@ def snk_invoices_state(spark, sf_dir):
 )
 def snk_payments_state(spark, sf_dir):
     """The journal after 180 payment runs, in order."""
-    tables = fixtures.tables(spark, sf_dir)
+    tables = fixtures.tables(spark, sf_dir, fixtures.PAYMENT_TABLES)
     journal = fixtures.initial_journal(spark, sf_dir)
     return posting.payments_state(journal, tables, payment_calendar(spark), CTX)
 
@@ -280,7 +280,7 @@ def snk_payments_state(spark, sf_dir):
 )
 def snk_payments_state_one_slice(spark, sf_dir):
     """The journal after one payment run with all its steps."""
-    tables = fixtures.tables(spark, sf_dir)
+    tables = fixtures.tables(spark, sf_dir, fixtures.PAYMENT_TABLES)
     journal = fixtures.initial_journal(spark, sf_dir)
     slices = SliceSet.of(spark, [PAYMENT_SLICE])
     return posting.payments_state(journal, tables, slices, CTX)
@@ -291,7 +291,7 @@ def snk_payments_state_one_slice(spark, sf_dir):
 
 def _reversal(sources: tuple[str, ...], company: int) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tables = fixtures.tables(spark, sf_dir)
+        tables = fixtures.tables(spark, sf_dir, fixtures.REVERSAL_TABLES)
         return reversals.reversed_documents(tables, REVERSAL_DATE, company, sources)
 
     return query

@@ -1,0 +1,104 @@
+from __future__ import annotations
+
+import sys
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+import check  # noqa: E402
+from asiento.context import RunContext  # noqa: E402
+from asiento.sources.tables import SCHEMAS, Tables  # noqa: E402
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = check.session("4")
+    session.conf.set("spark.sql.shuffle.partitions", "4")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return SF_DIR
+
+
+@pytest.fixture(scope="session")
+def ctx():
+    return RunContext(user="SA", terminal="T", run_ts=datetime(2024, 3, 1))
+
+
+def ts(text: str) -> datetime:
+    return datetime.fromisoformat(text)
+
+
+# What a row holds where a test does not care.
+DEFAULTS = {
+    "invoice_line": dict(
+        de_numero=1, de_num_linea=1, de_item=10, de_cod_empresa=1, de_fecha=ts("2024-01-05 10:00"),
+        de_estado="G", de_itbis=18.0, de_total=118.0, de_subtotal=100.0, de_descuento_sa=0.0,
+        de_descuento_sa_bse=0.0, de_descuento_lj=0.0, de_monto_financiado=0.0, de_cotizacion=1.0,
+        de_descripcion="X",
+    ),
+    "invoice_account_map": dict(pf_id_producto=10, pf_id_parametro=1, pf_cuenta="4000001"),
+    "invoice": dict(fa_numero=1, fa_ord_tra=1, fa_fecha=ts("2024-01-02"), fa_cod_empresa=1),
+    "work_order": dict(ot_codigo=1, ot_cia_seguros=1),
+    "payment": dict(
+        p_numero=1, p_tipo_docum=1, p_fecha=ts("2024-01-05 09:00"), p_estado="G",
+        p_cotizacion=1.0, p_cod_empresa=1, p_valor=100.0,
+    ),
+    "payment_line": dict(
+        dp_num_pago=1, dp_num_factura=1, dp_linea=1, dp_valor=100.0,
+        dp_fecha_documento=ts("2024-01-05 08:00"), dp_cod_empresa=1,
+    ),
+    "payment_form": dict(
+        fp_num_pago=1, fp_forma_pago="TRJ", fp_valor=100.0, fp_valor_bse=2.0,
+        fp_fecha=ts("2024-01-05 12:00"), fp_fecha_deposito=ts("2024-01-05"), fp_estado="G",
+        fp_cotizacion=1.0, fp_moneda=1, fp_cod_empresa=1, fp_id_banco_cuenta=1,
+    ),
+    "ext_payment_form": dict(
+        fp_num_pago=1, fp_forma_pago="TRJ", fp_valor=100.0, fp_fecha=ts("2024-01-05 12:00"),
+        fp_fecha_deposito=ts("2024-01-05"), fp_estado="G", fp_cotizacion=1.0, fp_moneda=1,
+        fp_id_banco_cuenta=1,
+    ),
+    "ext_payment": dict(p_numero=1, p_fecha=ts("2024-01-05 09:00")),
+    "payment_account_map": dict(
+        pp_cuenta="9000001", pp_descripcion_cta="TEXT", pp_fecha=ts("2024-01-01"),
+        pp_id_empresa=1, pp_id_param=1,
+    ),
+    "bank_account_map": dict(bp_id=1, bp_cuenta_contable="1111001", bp_uni_neg="U1"),
+    "ledger_account": dict(cu_cuenta="1111001", cu_uni_neg="U1", cu_descripcion="BANK"),
+    "payment_reversal": dict(
+        rp_num_pago=1, rp_cod_empresa=1, rp_user="U", rp_fecha=ts("2024-02-05 08:00")
+    ),
+    "invoice_reversal": dict(
+        rv_num_factura=1, rv_cod_empresa=1, rv_user="U", rv_fecha=ts("2024-02-05 08:00")
+    ),
+    "ext_payment_reversal": dict(rp_num_pago=1, rp_user="U", rp_fecha=ts("2024-02-05 08:00")),
+}
+
+
+@pytest.fixture(scope="session")
+def billing(spark):
+    """Tables from partial rows: ``billing(payment=[dict(p_numero=7)])``; the rest is empty."""
+
+    def build(**rows: list[dict]) -> Tables:
+        frames = {}
+        for name, schema in SCHEMAS.items():
+            filled = [{**DEFAULTS[name], **row} for row in rows.get(name, [])]
+            data = [tuple(row.get(column) for column in schema.names) for row in filled]
+            frames[name] = spark.createDataFrame(data, schema)
+        return Tables(**frames)
+
+    return build
+
+
+def rows(df, *columns):
+    """Sorted tuples of the columns named."""
+    picked = df.select(*columns).collect()
+    return sorted((tuple(r) for r in picked), key=lambda r: [(v is None, v) for v in r])
