@@ -10,6 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 import check  # noqa: E402
 from asiento.context import RunContext  # noqa: E402
+from asiento.sources.shared import shared_folder  # noqa: E402
 from asiento.sources.tables import SCHEMAS, Tables  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -19,6 +20,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def spark():
     session = check.session("4")
     session.conf.set("spark.sql.shuffle.partitions", "4")
+    shared_folder(session)
     yield session
     session.stop()
 
