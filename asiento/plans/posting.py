@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
-from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 
@@ -66,7 +65,7 @@ def final_state(
 
 @dataclass(frozen=True)
 class Replay:
-    """A reversal replay: its documents, its slices, and the rows they post."""
+    """A replay of reversals: the documents, the slices, and the rows these post."""
 
     documents: DataFrame
     slices: SliceSet
@@ -75,18 +74,17 @@ class Replay:
 
 def replay_reversals(
     tables: Tables,
-    reversal_date: date | datetime | str,
-    company: int,
+    calls: SliceSet,
     ctx: RunContext,
     replay_company: int | str = REPLAY_COMPANY,
 ) -> Replay:
-    """Post again, as reversed, every accounting date of the documents reversed on a date.
+    """Post again, as reversed, every accounting date of the documents each call finds.
 
-    The dates are posted for company 1 and its fixed user whatever ``company`` is;
-    ``replay_company="requested"`` posts them for ``company``.
+    The dates are posted for company 1 and its fixed user whatever the company of the
+    call is; ``replay_company="requested"`` posts them for the company of the call.
     """
-    documents = reversed_documents(tables, reversal_date, company)
-    target = company if replay_company == "requested" else int(replay_company)
+    documents = reversed_documents(tables, calls, ctx)
+    target = None if replay_company == "requested" else int(replay_company)
     slices = reversal_slices(documents, target)
     ctx = replace(ctx, user=REPLAY_USER)
     return Replay(documents, slices, journal_by_slice(tables, slices, ctx))

@@ -22,6 +22,7 @@ COMPANY_1_PARAMS = (1, 2, 3, 6, 7, 8, 9, 10, 12, 13, 15, 24)
 COMPANIES = (1, 2, 3)
 STATES = ("G", "R")
 INVOICE_MONTHS = [date(y, m, 1) for y in range(1995, 2002) for m in range(1, 13)][:-1]
+REVERSAL_DAYS = [date(2024, 2, d) for d in range(1, 11)]
 PAYMENT_DAYS = [date(2024, 1, d) for d in range(1, 31)]
 
 

@@ -406,37 +406,47 @@ ROWS["payment_state"] = """
 # -- reversals ----------------------------------------------------------------------
 
 
-def _reversals(company: int) -> dict[str, str]:
-    day = "DATE '2024-02-05'"
-    return {
-        "payments": f"""
-            SELECT rp_num_pago AS num_doc, p_fecha::DATE AS fecha_contable,
-                rp_cod_empresa::INTEGER AS empresa, rp_user AS usuario
-            FROM payment_reversal JOIN payment ON p_numero = rp_num_pago
-            WHERE rp_fecha::DATE = {day} AND rp_cod_empresa = {company}""",
-        "invoices": f"""
-            SELECT rv_num_factura AS num_doc, fa_fecha::DATE AS fecha_contable,
-                rv_cod_empresa::INTEGER AS empresa, rv_user AS usuario
-            FROM invoice_reversal JOIN invoice ON fa_numero = rv_num_factura
-            WHERE rv_fecha::DATE = {day} AND rv_cod_empresa = {company}""",
-        "ext_payments": f"""
-            SELECT rp_num_pago AS num_doc, p_fecha::DATE AS fecha_contable,
-                1 AS empresa, rp_user AS usuario
-            FROM ext_payment_reversal JOIN ext_payment ON p_numero = rp_num_pago
-            WHERE rp_fecha::DATE = {day} AND {company} = 1""",
-    }
-
+# Calls of the replay: one per reversal date and company.
+REVERSAL_CALLS = """
+    SELECT row_number() OVER (ORDER BY d.fecha, e.empresa) AS slice_id, d.fecha::DATE AS fecha,
+        e.empresa, 'R' AS estado
+    FROM generate_series(DATE '2024-02-01', DATE '2024-02-10', INTERVAL 1 DAY) d(fecha)
+    CROSS JOIN (VALUES (1), (2), (3)) e(empresa)"""
+
+REVERSALS = {
+    "payments": """
+        SELECT s.slice_id AS llamada, rp_num_pago AS num_doc, p_fecha::DATE AS fecha_contable,
+            rp_cod_empresa::INTEGER AS empresa, rp_user AS usuario
+        FROM payment_reversal JOIN payment ON p_numero = rp_num_pago
+            JOIN slices s ON rp_fecha::DATE = s.fecha AND rp_cod_empresa = s.empresa""",
+    "invoices": """
+        SELECT s.slice_id AS llamada, rv_num_factura AS num_doc, fa_fecha::DATE AS fecha_contable,
+            rv_cod_empresa::INTEGER AS empresa, rv_user AS usuario
+        FROM invoice_reversal JOIN invoice ON fa_numero = rv_num_factura
+            JOIN slices s ON rv_fecha::DATE = s.fecha AND rv_cod_empresa = s.empresa""",
+    "ext_payments": """
+        SELECT s.slice_id AS llamada, rp_num_pago AS num_doc, p_fecha::DATE AS fecha_contable,
+            1 AS empresa, rp_user AS usuario
+        FROM ext_payment_reversal JOIN ext_payment ON p_numero = rp_num_pago
+            JOIN slices s ON rp_fecha::DATE = s.fecha AND s.empresa = 1""",
+}
+ROWS["reversed_document"] = " UNION ALL ".join(REVERSALS.values())
+ROWS["reversal_date"] = """
+    SELECT llamada, empresa, fecha,
+        (row_number() OVER (PARTITION BY llamada ORDER BY fecha NULLS FIRST))::INTEGER AS id
+    FROM (SELECT DISTINCT llamada, empresa, fecha_contable AS fecha FROM reversed_document)"""
+REPLAY = """
+    SELECT ((llamada - 1) * 10000000 + id)::BIGINT AS slice_id, fecha, 1 AS empresa,
+        'R' AS estado
+    FROM replayed_date"""
 
-def reversal_part(source: str, company: int) -> str:
-    return _reversals(company)[source]
 
+def calls(slices: str) -> dict[str, str]:
+    """The calls of a replay, apart from the slices it posts."""
+    found = " UNION ALL ".join(REVERSALS.values()).replace("JOIN slices s", "JOIN calls s")
+    dates = ROWS["reversal_date"].replace("reversed_document", "replayed_document")
+    return {"calls": slices, "replayed_document": found, "replayed_date": dates}
 
-ROWS["reversed_document"] = " UNION ALL ".join(_reversals(1).values())
-ROWS["reversal_date"] = """
-    SELECT row_number() OVER (ORDER BY fecha NULLS FIRST)::INTEGER AS id, fecha
-    FROM (SELECT DISTINCT fecha_contable AS fecha FROM reversed_document)"""
-REPLAY = """
-    SELECT id::BIGINT AS slice_id, fecha, 1 AS empresa, 'R' AS estado FROM reversal_date"""
 
 # -- statements ---------------------------------------------------------------------
 

@@ -289,10 +289,20 @@ def snk_payments_state_one_slice(spark, sf_dir):
 # -- reversals ----------------------------------------------------------------------
 
 
-def _reversal(sources: tuple[str, ...], company: int) -> Query:
+def reversal_calendar(spark: SparkSession) -> SliceSet:
+    """Every day of the reversal logs, for three companies."""
+    calls = ((day, c) for day in fixtures.REVERSAL_DAYS for c in fixtures.COMPANIES)
+    return reversals.reversal_calls(spark, calls)
+
+
+def one_call(spark: SparkSession, company: int = 1) -> SliceSet:
+    return reversals.reversal_calls(spark, [(REVERSAL_DATE, company)])
+
+
+def _reversal(sources: tuple[str, ...]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables = fixtures.tables(spark, sf_dir, fixtures.REVERSAL_TABLES)
-        return reversals.reversed_documents(tables, REVERSAL_DATE, company, sources)
+        return reversals.reversed_documents(tables, reversal_calendar(spark), CTX, sources)
 
     return query
 
@@ -302,21 +312,37 @@ for name, source in (
     ("rvs_2_invoices", "invoices"),
     ("rvs_3_ext", "ext_payments"),
 ):
-    register(name, oracle.statement(oracle.reversal_part(source, 1)))(_reversal((source,), 1))
-register("rvs_4_documents", oracle.statement("SELECT * FROM reversed_document"))(
-    _reversal(reversals.SOURCES, 1)
-)
+    register(name, oracle.statement(oracle.REVERSALS[source], oracle.REVERSAL_CALLS))(
+        _reversal((source,))
+    )
 register(
-    "rvs_4_documents_company_2",
-    oracle.statement(
-        " UNION ALL ".join(oracle.reversal_part(source, 2) for source in reversals.SOURCES)
-    ),
-)(_reversal(reversals.SOURCES, 2))
+    "rvs_4_documents",
+    oracle.statement("SELECT * FROM reversed_document", oracle.REVERSAL_CALLS),
+)(_reversal(reversals.SOURCES))
+
+
+def _reversal_one_call(company: int) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = fixtures.tables(spark, sf_dir, fixtures.REVERSAL_TABLES)
+        calls = one_call(spark, company)
+        return reversals.reversed_documents(tables, calls, CTX).drop("llamada")
+
+    return query
 
 
-@register("rvs_5_dates", oracle.statement("SELECT * FROM reversal_date"))
+for name, company in (("rvs_4_documents_one_call", 1), ("rvs_4_documents_company_2", 2)):
+    register(
+        name,
+        oracle.statement(
+            "SELECT * EXCLUDE (llamada) FROM reversed_document",
+            oracle.one_slice(REVERSAL_DATE, company, "R"),
+        ),
+    )(_reversal_one_call(company))
+
+
+@register("rvs_5_dates", oracle.statement("SELECT * FROM reversal_date", oracle.REVERSAL_CALLS))
 def rvs_5_dates(spark, sf_dir):
-    documents = _reversal(reversals.SOURCES, 1)(spark, sf_dir)
+    documents = _reversal(reversals.SOURCES)(spark, sf_dir)
     return reversals.reversal_dates(documents)
 
 
@@ -326,12 +352,29 @@ def rvs_5_dates(spark, sf_dir):
         """SELECT * EXCLUDE (slice_fecha, slice_empresa) FROM
            (SELECT * FROM posted_invoice UNION ALL BY NAME SELECT * FROM posted_payment)""",
         oracle.REPLAY,
+        oracle.calls(oracle.one_slice(REVERSAL_DATE, 1, "R")),
     ),
 )
 def rvs_6_replay(spark, sf_dir):
-    """The rows that each accounting date posts, with the number of the date."""
+    """The rows that each accounting date of one call posts, with the number of the date."""
+    tables = fixtures.tables(spark, sf_dir)
+    replay = posting.replay_reversals(tables, one_call(spark), CTX)
+    return replay.journal_by_slice.drop("slice_fecha", "slice_empresa")
+
+
+@register(
+    "rvs_6_replay_all_calls",
+    oracle.statement(
+        """SELECT * EXCLUDE (slice_fecha, slice_empresa) FROM
+           (SELECT * FROM posted_invoice UNION ALL BY NAME SELECT * FROM posted_payment)""",
+        oracle.REPLAY,
+        oracle.calls(oracle.REVERSAL_CALLS),
+    ),
+)
+def rvs_6_replay_all_calls(spark, sf_dir):
+    """The replays of every reversal date and company in one job."""
     tables = fixtures.tables(spark, sf_dir)
-    replay = posting.replay_reversals(tables, REVERSAL_DATE, 1, CTX)
+    replay = posting.replay_reversals(tables, reversal_calendar(spark), CTX)
     return replay.journal_by_slice.drop("slice_fecha", "slice_empresa")
 
 
@@ -340,13 +383,14 @@ def rvs_6_replay(spark, sf_dir):
     oracle.statement(
         "SELECT * EXCLUDE (slice_id, slice_empresa) FROM payment_state",
         oracle.REPLAY,
-        _payment_state("(SELECT * EXCLUDE (slice_id) FROM invoice_state)"),
+        oracle.calls(oracle.one_slice(REVERSAL_DATE, 1, "R"))
+        | _payment_state("(SELECT * EXCLUDE (slice_id) FROM invoice_state)"),
     ),
 )
 def rvs_6_final_state(spark, sf_dir):
     """The journal after the whole replay, in date order."""
     tables = fixtures.tables(spark, sf_dir)
-    documents = reversals.reversed_documents(tables, REVERSAL_DATE, 1)
+    documents = reversals.reversed_documents(tables, one_call(spark), CTX)
     slices = reversals.reversal_slices(documents)
     journal = fixtures.initial_journal(spark, sf_dir)
     return posting.final_state(journal, tables, slices, CTX)

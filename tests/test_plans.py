@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_points
 from asiento.operators.invoices import invoice_rows, post_invoices
 from asiento.operators.payments import payment_rows
+from asiento.operators.reversals import reversal_calls, reversed_documents
 from asiento.plans import posting
 from asiento.plans.rules import INSURER_BRANCH, INVOICE_BRANCHES
 from asiento.slices import ROW_COLUMNS, SliceSet
@@ -104,10 +105,8 @@ def test_no_cross_joins(spark, sf_dir, name):
         assert "PythonUDF" not in text and "InPandas" not in text
 
 
-def test_reversals_of_other_companies_skip_the_second_system(spark, stored):
-    from asiento.operators.reversals import reversed_documents
-
-    df = reversed_documents(stored, "2024-02-05", 2)
+def test_reversals_of_other_companies_skip_the_second_system(spark, stored, ctx):
+    df = reversed_documents(stored, reversal_calls(spark, [("2024-02-05", 2)]), ctx)
     assert scans(df, "ext_payment_reversal") == 0
     assert scans(df, "payment_reversal") == 1
 

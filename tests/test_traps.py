@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from asiento.operators import state
 from asiento.operators.invoices import invoice_rows, post_invoices
 from asiento.operators.payments import payment_rows
+from asiento.operators.reversals import reversal_calls, reversal_slices, reversed_documents
 from asiento.plans import posting
 from asiento.slices import Slice, SliceSet, as_date
 from asiento.sources.schemas import JOURNAL
@@ -30,6 +31,10 @@ def accounts(company, *params):
     ]
 
 
+def call(spark, company):
+    return reversal_calls(spark, [("2024-02-05", company)])
+
+
 LATE_MAP = dict(pp_id_empresa=1, pp_id_param=14, pp_cuenta="2141005", pp_descripcion_cta="LATE")
 
 
@@ -216,7 +221,7 @@ def test_payment_lines_of_another_company_stay_behind(spark, billing, one, ctx):
 # -- replay -----------------------------------------------------------------------------
 
 
-def test_replay_posts_company_1_whatever_was_asked(billing, ctx):
+def test_replay_posts_company_1_whatever_was_asked(spark, billing, ctx):
     tables = billing(
         payment_reversal=[dict(rp_cod_empresa=2)],
         payment=[dict()],
@@ -226,9 +231,11 @@ def test_replay_posts_company_1_whatever_was_asked(billing, ctx):
         ],
     )
     other = replace(ctx, user="ME")
-    replay = posting.replay_reversals(tables, "2024-02-05", 2, other)
+    replay = posting.replay_reversals(tables, call(spark, 2), other)
     assert rows(replay.journal_by_slice, "in_num_documento", "in_operador") == [(11, "SA")]
-    replay = posting.replay_reversals(tables, "2024-02-05", 2, ctx, replay_company="requested")
+    replay = posting.replay_reversals(
+        tables, call(spark, 2), ctx, replay_company="requested"
+    )
     assert rows(replay.journal_by_slice, "in_num_documento") == [(12,)]
 
 
@@ -243,32 +250,48 @@ def test_replay_keeps_only_the_last_date_in_the_journal(spark, billing, ctx):
             ),
         ],
     )
-    replay = posting.replay_reversals(tables, "2024-02-05", 1, ctx)
+    replay = posting.replay_reversals(tables, call(spark, 1), ctx)
     assert rows(replay.journal_by_slice, "slice_id", "in_num_documento") == [(1, 11), (2, 12)]
     final = posting.final_state(journal(spark), tables, replay.slices, ctx)
     assert rows(final, "in_num_documento") == [(12,)]
 
 
-def test_replay_without_documents_posts_nothing(billing, ctx):
-    replay = posting.replay_reversals(billing(), "2024-02-05", 1, ctx)
+def test_replay_without_documents_posts_nothing(spark, billing, ctx):
+    replay = posting.replay_reversals(billing(), call(spark, 1), ctx)
     assert replay.journal_by_slice.count() == 0
 
 
-def test_second_system_reversals_belong_to_company_1(billing):
-    from asiento.operators.reversals import reversed_documents
-
+def test_second_system_reversals_belong_to_company_1(spark, billing, ctx):
     tables = billing(ext_payment_reversal=[dict()], ext_payment=[dict()])
-    found = reversed_documents(tables, "2024-02-05", 1)
+    found = reversed_documents(tables, call(spark, 1), ctx)
     assert rows(found, "num_doc", "fecha_contable", "empresa") == [(1, date(2024, 1, 5), 1)]
-    assert reversed_documents(tables, "2024-02-05", 2).count() == 0
+    assert reversed_documents(tables, call(spark, 2), ctx).count() == 0
+    both = reversal_calls(spark, [("2024-02-05", 2), ("2024-02-05", 1)])
+    found = reversed_documents(tables, both, ctx)
+    assert rows(found, "llamada", "num_doc") == [(2, 1)]
 
 
 @pytest.mark.parametrize("bad", ["2024-13-01", "yesterday", "05/02/2024"])
-def test_a_bad_reversal_date_is_an_error(billing, bad):
-    from asiento.operators.reversals import reversed_documents
-
+def test_a_bad_reversal_date_is_an_error(spark, bad):
     with pytest.raises(ValueError):
-        reversed_documents(billing(), bad, 1)
+        reversal_calls(spark, [(bad, 1)])
+
+
+def test_replays_of_several_calls_run_one_after_the_other(spark, billing, ctx):
+    tables = billing(
+        payment_reversal=[
+            dict(rp_num_pago=1),
+            dict(rp_num_pago=2, rp_fecha=ts("2024-02-04 10:00")),
+        ],
+        payment=[dict(p_numero=1), dict(p_numero=2, p_fecha=ts("2024-01-09 01:00"))],
+    )
+    calls = reversal_calls(spark, [("2024-02-04", 1), ("2024-02-05", 1)])
+    slices = reversal_slices(reversed_documents(tables, calls, ctx))
+    # The first call replays the later date: the order of the calls comes first.
+    assert rows(slices.df, "slice_id", "fecha") == [
+        (1, date(2024, 1, 9)),
+        (10_000_001, date(2024, 1, 5)),
+    ]
 
 
 # -- currencies and forms ---------------------------------------------------------------
