@@ -80,7 +80,7 @@ def _company_account(tables: Tables, param: int) -> DataFrame:
 
 def _receivable_rows(tables: Tables, slices: SliceSet, ctx: RunContext) -> DataFrame:
     """Payments applied to invoices. Only payment and invoice must be of the slice's company."""
-    lines = tables.payment_line.filter(slices.on_dates("dp_fecha_documento"))
+    lines = tables.payment_line.filter(slices.on_dates(tables.payment_line, "dp_fecha_documento"))
     payments = tables.payment.filter(
         ~F.col("p_tipo_docum").isin(*NOT_RECEIVABLE_DOCUMENTS)
         & slices.in_companies("p_cod_empresa")

@@ -54,7 +54,7 @@ def purged_payments(payments: DataFrame, slices: SliceSet) -> DataFrame:
         F.max("slice_id").alias("last_run")
     )
     return (
-        payments.filter((F.col("p_tipo_docum") == PURGED_DOCUMENT) & slices.on_dates("p_fecha"))
+        payments.filter((F.col("p_tipo_docum") == PURGED_DOCUMENT) & slices.on_dates(payments, "p_fecha"))
         .join(last_run, F.to_date("p_fecha") == F.col("run_fecha"))
         .select(F.col("p_numero").alias("purged"), F.col("run_fecha").alias("purged_on"), "last_run")
     )

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asiento.context import RunContext
+from asiento.sources.facts import day_column
 from asiento.sources.shared import write_shared
 
 COLUMNS = ("slice_id", "fecha", "empresa", "estado")
@@ -136,17 +137,23 @@ class SliceSet:
     def companies(self) -> DataFrame:
         return self.df.select("empresa").distinct()
 
-    def on_dates(self, column: str) -> Column:
-        """``column`` lies between the first and the last date: a range the scan can use."""
+    def on_dates(self, fact: DataFrame, column: str) -> Column:
+        """``column`` lies between the first and the last date: a range the scan can use.
+
+        A fact written by day is also limited to the partitions of those days.
+        """
         if self.span is None:
             return F.lit(False)
         first, last = self.span
-        day = F.to_date(column)
         if first == last:
-            return day == F.lit(first)
-        return (F.col(column) >= F.lit(first).cast("timestamp_ntz")) & (
-            F.col(column) < F.lit(last + timedelta(days=1)).cast("timestamp_ntz")
-        )
+            inside = F.to_date(column) == F.lit(first)
+        else:
+            inside = (F.col(column) >= F.lit(first).cast("timestamp_ntz")) & (
+                F.col(column) < F.lit(last + timedelta(days=1)).cast("timestamp_ntz")
+            )
+        if day_column(column) in fact.columns:
+            inside = inside & F.col(day_column(column)).between(F.lit(first), F.lit(last))
+        return inside
 
     def in_companies(self, column: str) -> Column:
         if self.listed is None:
@@ -178,7 +185,7 @@ class SliceSet:
         compared. One listed slice is a plain filter; several are an equi join with the
         slice table, which Spark broadcasts as long as its known size allows.
         """
-        kept = fact.filter(self.on_dates(fecha))
+        kept = fact.filter(self.on_dates(fact, fecha))
         if empresa is not None:
             kept = kept.filter(self.in_companies(empresa))
         if estado is not None:
@@ -198,7 +205,10 @@ class SliceSet:
             F.col("empresa").alias("slice_empresa"),
             F.col("estado").alias("slice_estado"),
         )
-        match = F.to_date(fecha) == F.col("slice_fecha")
+        # The day column, where there is one, lets Spark prune partitions by the slices.
+        by_day = day_column(fecha) in fact.columns
+        day = F.col(day_column(fecha)) if by_day else F.to_date(fecha)
+        match = day == F.col("slice_fecha")
         if empresa is not None:
             match = match & (F.col(empresa) == F.col("slice_empresa"))
         if estado is not None:

@@ -16,6 +16,7 @@ from asiento.operators.reversals import reversal_calls, reversed_documents
 from asiento.plans import posting
 from asiento.plans.rules import INSURER_BRANCH, INVOICE_BRANCHES
 from asiento.slices import ROW_COLUMNS, SliceSet
+from asiento.sources.facts import write_by_day
 from asiento.sources.tables import Tables
 from catalogue import fixtures
 from catalogue.queries import invoice_calendar, payment_calendar
@@ -156,3 +157,38 @@ def executed(df):
     """The frame after its plan has run, with the plan that AQE settled on."""
     df.collect()
     return df
+
+
+def test_facts_written_by_day_are_read_by_partition(spark, stored, ctx, tmp_path):
+    write_by_day(stored.invoice_line, str(tmp_path / "lines"), "de_fecha", "de_cod_empresa")
+    by_day = spark.read.parquet(str(tmp_path / "lines"))
+    tables = replace(stored, invoice_line=by_day)
+    given = [("1997-03-01", 1, "G")], [("1997-03-01", 1, "G"), ("1998-07-01", 2, "R")]
+    for slices in (SliceSet.of(spark, one) for one in given):
+        df = post_invoices(tables, slices, ctx)
+        text = plan(df)
+        assert len(re.findall(r"PartitionFilters: .*de_fecha_dia", text)) == 2
+        assert len(re.findall(r"PartitionFilters: .*de_cod_empresa", text)) == 2
+        expected = post_invoices(stored, slices, ctx)
+        same_rows(
+            df.withColumn("in_cod_empresa", F.col("in_cod_empresa").cast("bigint")), expected
+        )
+    # With the slices in a table, the days to read are only known at run time.
+    present = SliceSet.from_frame(slices.df)
+    assert "dynamicpruning" in plan(post_invoices(tables, present, ctx))
+
+
+def test_payments_written_by_day(spark, stored, ctx, tmp_path):
+    dates = {
+        "payment": "p_fecha", "payment_line": "dp_fecha_documento", "payment_form": "fp_fecha",
+        "ext_payment_form": "fp_fecha",
+    }
+    by_day = {}
+    for name, column in dates.items():
+        write_by_day(getattr(stored, name), str(tmp_path / name), column)
+        by_day[name] = spark.read.parquet(str(tmp_path / name))
+    slices = SliceSet.of(spark, [("2024-01-04", 2, "G"), ("2024-01-05", 1, "R")])
+    same_rows(
+        posting.post_payments(replace(stored, **by_day), slices, ctx),
+        posting.post_payments(stored, slices, ctx),
+    )
