@@ -288,7 +288,7 @@ def posting_guide(
     parts = []
     if from_map:
         serves = F.filter(
-            F.array(*(_rule_struct(system, rule) for system, rule in from_map)),
+            _rule_array(from_map),
             lambda r: F.when(
                 r["late"], ctx.text(F.col("pp_cuenta")) == ctx.text(r["account"])
             ).otherwise(F.col("pp_id_param") == r["param"]),
@@ -307,8 +307,8 @@ def posting_guide(
             )
         )
     for system in (OWN, EXT):
-        structs = [_rule_struct(s, rule) for s, rule in free if s == system]
-        if not structs:
+        of_system = [(s, rule) for s, rule in free if s == system]
+        if not of_system:
             continue
         companies = slices.companies()
         if system == EXT:
@@ -316,7 +316,7 @@ def posting_guide(
         parts.append(
             companies.select(
                 F.col("empresa").alias("g_empresa"),
-                F.explode(F.array(*structs)).alias("rule"),
+                F.explode(_rule_array(of_system)).alias("rule"),
             ).withColumns({"g_account": F.col("rule.account"), "g_text": F.col("rule.text")})
         )
     columns = ["g_empresa", "g_account", "g_text"]
@@ -329,18 +329,32 @@ def posting_guide(
     return guide
 
 
-def _rule_struct(system: str, rule: FormRule) -> Column:
-    return F.struct(
-        F.lit(system).alias("system"),
-        F.lit(rule.form).alias("form"),
-        F.lit(rule.currency).cast("int").alias("currency"),
-        F.lit(rule.amount).alias("amount"),
-        F.lit(rule.param).cast("int").alias("param"),
-        F.lit(rule.late_account or rule.account).cast("string").alias("account"),
-        F.lit(rule.text).cast("string").alias("text"),
-        F.lit(rule.bank).alias("bank"),
-        F.lit(rule.late_account is not None).alias("late"),
-    )
+def _rule_array(rules: list[tuple[str, FormRule]]) -> Column:
+    """The rules as one literal array of structs."""
+
+    def struct(system: str, rule: FormRule) -> str:
+        values = {
+            "system": _sql_text(system),
+            "form": _sql_text(rule.form),
+            "currency": f"cast({_sql_number(rule.currency)} as int)",
+            "amount": _sql_text(rule.amount),
+            "param": f"cast({_sql_number(rule.param)} as int)",
+            "account": f"cast({_sql_text(rule.late_account or rule.account)} as string)",
+            "text": f"cast({_sql_text(rule.text)} as string)",
+            "bank": str(rule.bank).lower(),
+            "late": str(rule.late_account is not None).lower(),
+        }
+        return "named_struct(" + ", ".join(f"'{n}', {v}" for n, v in values.items()) + ")"
+
+    return F.expr("array(" + ", ".join(struct(system, rule) for system, rule in rules) + ")")
+
+
+def _sql_text(value: str | None) -> str:
+    return "null" if value is None else "'" + value.replace("'", "\\'") + "'"
+
+
+def _sql_number(value: int | None) -> str:
+    return "null" if value is None else str(value)
 
 
 def _with_bank_account(posted: DataFrame, tables: Tables, ctx: RunContext) -> DataFrame:
