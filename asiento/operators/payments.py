@@ -80,15 +80,16 @@ def _company_account(tables: Tables, param: int) -> DataFrame:
 
 def _receivable_rows(tables: Tables, slices: SliceSet, ctx: RunContext) -> DataFrame:
     """Payments applied to invoices. Only payment and invoice must be of the slice's company."""
-    lines = tables.payment_line.filter(slices.on_dates(tables.payment_line, "dp_fecha_documento"))
-    payments = tables.payment.filter(
-        ~F.col("p_tipo_docum").isin(*NOT_RECEIVABLE_DOCUMENTS)
-        & slices.in_companies("p_cod_empresa")
-        & slices.in_states("p_estado", ctx)
+    lines = slices.narrow(tables.payment_line, ctx, fecha="dp_fecha_documento")
+    payments = slices.narrow(
+        tables.payment.filter(~F.col("p_tipo_docum").isin(*NOT_RECEIVABLE_DOCUMENTS)),
+        ctx,
+        empresa="p_cod_empresa",
+        estado="p_estado",
     )
     applied = lines.join(payments, F.col("dp_num_pago") == F.col("p_numero"))
     applied = slices.select_from(applied, ctx, "dp_fecha_documento", "p_cod_empresa", "p_estado")
-    invoices = tables.invoice.filter(slices.in_companies("fa_cod_empresa")).select(
+    invoices = slices.narrow(tables.invoice, ctx, empresa="fa_cod_empresa").select(
         "fa_numero", "fa_cod_empresa", "fa_fecha"
     )
     posted = applied.join(

@@ -171,6 +171,38 @@ class SliceSet:
             matches = matches | (ctx.text(F.col(column)) == state)
         return matches
 
+    def narrow(
+        self,
+        fact: DataFrame,
+        ctx: RunContext,
+        fecha: str | None = None,
+        empresa: str | None = None,
+        estado: str | None = None,
+    ) -> DataFrame:
+        """Rows of ``fact`` that some slice could take, each once, judged by these columns.
+
+        For tables that take part of their slice from another table: it keeps rows of no
+        use out of the join between the two.
+        """
+        kept = self._within(fact, ctx, fecha, empresa, estado)
+        if self.only is not None:
+            return kept
+        keys = []
+        if fecha is not None:
+            keys.append(self._day(fact, fecha) == F.col("slice_fecha"))
+        if self.listed is None:
+            # Companies and states of listed slices are literals in the filter already.
+            if empresa is not None:
+                keys.append(F.col(empresa) == F.col("slice_empresa"))
+            if estado is not None:
+                keys.append(ctx.text(F.col(estado)) == ctx.text(F.col("slice_estado")))
+        if not keys:
+            return kept
+        match = keys[0]
+        for key in keys[1:]:
+            match = match & key
+        return kept.join(self._renamed(), match, "left_semi")
+
     def select_from(
         self,
         fact: DataFrame,
@@ -185,11 +217,7 @@ class SliceSet:
         compared. One listed slice is a plain filter; several are an equi join with the
         slice table, which Spark broadcasts as long as its known size allows.
         """
-        kept = fact.filter(self.on_dates(fact, fecha))
-        if empresa is not None:
-            kept = kept.filter(self.in_companies(empresa))
-        if estado is not None:
-            kept = kept.filter(self.in_states(estado, ctx))
+        kept = self._within(fact, ctx, fecha, empresa, estado)
         if self.only is not None:
             number, one = self.only
             return kept.withColumns(
@@ -199,18 +227,41 @@ class SliceSet:
                     "slice_empresa": F.lit(one.empresa),
                 }
             )
-        wanted = self.df.select(
+        match = self._day(fact, fecha) == F.col("slice_fecha")
+        if empresa is not None:
+            match = match & (F.col(empresa) == F.col("slice_empresa"))
+        if estado is not None:
+            match = match & (ctx.text(F.col(estado)) == ctx.text(F.col("slice_estado")))
+        return kept.join(self._renamed(), match, "inner").drop("slice_estado")
+
+    def _within(
+        self,
+        fact: DataFrame,
+        ctx: RunContext,
+        fecha: str | None,
+        empresa: str | None,
+        estado: str | None,
+    ) -> DataFrame:
+        """Filters with literals, which reach the scan."""
+        kept = fact
+        if fecha is not None:
+            kept = kept.filter(self.on_dates(fact, fecha))
+        if empresa is not None:
+            kept = kept.filter(self.in_companies(empresa))
+        if estado is not None:
+            kept = kept.filter(self.in_states(estado, ctx))
+        return kept
+
+    def _renamed(self) -> DataFrame:
+        return self.df.select(
             "slice_id",
             F.col("fecha").alias("slice_fecha"),
             F.col("empresa").alias("slice_empresa"),
             F.col("estado").alias("slice_estado"),
         )
-        # The day column, where there is one, lets Spark prune partitions by the slices.
+
+    @staticmethod
+    def _day(fact: DataFrame, fecha: str) -> Column:
+        """The date; the day column, where there is one, lets Spark prune partitions."""
         by_day = day_column(fecha) in fact.columns
-        day = F.col(day_column(fecha)) if by_day else F.to_date(fecha)
-        match = day == F.col("slice_fecha")
-        if empresa is not None:
-            match = match & (F.col(empresa) == F.col("slice_empresa"))
-        if estado is not None:
-            match = match & (ctx.text(F.col(estado)) == ctx.text(F.col("slice_estado")))
-        return kept.join(wanted, match, "inner").drop("slice_estado")
+        return F.col(day_column(fecha)) if by_day else F.to_date(fecha)
