@@ -16,7 +16,14 @@ from asiento.operators.state import (
     purged_payments,
     settle_payments,
 )
-from asiento.plans.rules import REPLAY_COMPANY, REPLAY_USER
+from asiento.plans.rules import (
+    EXT_BRANCHES,
+    EXT_COMPANY,
+    OWN_COMPANY_BRANCHES,
+    RECEIVABLE_BRANCH,
+    REPLAY_COMPANY,
+    REPLAY_USER,
+)
 from asiento.slices import SliceSet
 from asiento.sources.tables import Tables
 
@@ -34,11 +41,34 @@ def journal_by_slice(tables: Tables, slices: SliceSet, ctx: RunContext) -> DataF
     return invoices.unionByName(payments, allowMissingColumns=True)
 
 
+def lasting_invoices(tables: Tables, slices: SliceSet, ctx: RunContext) -> DataFrame:
+    """The invoice rows that no later run of ``slices`` clears.
+
+    A run posts rows of its own company only, so the last run of each company is enough:
+    a backfill of years reads one date per company.
+    """
+    return post_invoices(tables, slices.last_of_companies(), ctx)
+
+
+def lasting_payments(tables: Tables, slices: SliceSet, ctx: RunContext) -> DataFrame:
+    """Payment rows that contain all that later runs of ``slices`` leave.
+
+    Own forms and advances are of the run's company, and its last run is enough. Forms of
+    the second system are of company 1 and last from its last run on. Payment lines may be
+    of any company and come from every run.
+    """
+    own = payment_rows(tables, slices.last_of_companies(), ctx, OWN_COMPANY_BRANCHES)
+    ext_slices = slices.since_last_of(EXT_COMPANY)
+    ext = payment_rows(tables, ext_slices, ctx, EXT_BRANCHES)
+    lines = payment_rows(tables, slices, ctx, [RECEIVABLE_BRANCH])
+    return own.unionByName(ext).unionByName(lines)
+
+
 def invoices_state(
     journal: DataFrame, tables: Tables, slices: SliceSet, ctx: RunContext
 ) -> DataFrame:
     """The journal after the invoice runs of ``slices``, in order."""
-    return apply_invoice_runs(journal, post_invoices(tables, slices, ctx), slices)
+    return apply_invoice_runs(journal, lasting_invoices(tables, slices, ctx), slices)
 
 
 def payments_state(
@@ -47,7 +77,7 @@ def payments_state(
     """The journal after the payment runs of ``slices``, in order."""
     return apply_payment_runs(
         journal,
-        payment_rows(tables, slices, ctx),
+        lasting_payments(tables, slices, ctx),
         slices,
         purged_payments(tables.payment, slices),
     )

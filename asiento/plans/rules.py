@@ -106,9 +106,12 @@ FORM_RULES = (
 EXT_PREFIX = "ext_"
 EXT_FORM_RULES = CARD_AND_DEPOSIT_RULES
 
-PAYMENT_BRANCHES = (
-    "receivable",
+# Payment branches, by the company their rows carry: that of the slice, that of the second
+# system, or any.
+OWN_COMPANY_BRANCHES = (
     *dict.fromkeys(rule.branch for rule in FORM_RULES),
     "advance_received",
-    *dict.fromkeys(EXT_PREFIX + rule.branch for rule in EXT_FORM_RULES),
 )
+EXT_BRANCHES = tuple(dict.fromkeys(EXT_PREFIX + rule.branch for rule in EXT_FORM_RULES))
+RECEIVABLE_BRANCH = "receivable"
+PAYMENT_BRANCHES = (RECEIVABLE_BRANCH, *OWN_COMPANY_BRANCHES, *EXT_BRANCHES)

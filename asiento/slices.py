@@ -114,10 +114,20 @@ class SliceSet:
     @staticmethod
     def from_frame(df: DataFrame) -> SliceSet:
         """Slices computed by a query: written once, read back with a known size."""
-        stored = write_shared(df.select(*COLUMNS), "slices")
+        return SliceSet._measured(write_shared(df.select(*COLUMNS), "slices"))
+
+    @staticmethod
+    def _measured(stored: DataFrame) -> SliceSet:
         first, last = stored.agg(F.min("fecha"), F.max("fecha")).first()
         return SliceSet(stored, None, (first, last) if first else None)
 
+    def _keep(self, numbers: Iterable[int]) -> SliceSet:
+        """Some of the listed slices, with their numbers."""
+        kept = {n: self.listed[n] for n in numbers}
+        dates = [s.fecha for s in kept.values()]
+        df = self.df.filter(F.col("slice_id").isin(list(kept)))
+        return SliceSet(df, kept, (min(dates), max(dates)) if dates else None)
+
     # -- use --------------------------------------------------------------------
 
     @property
@@ -128,11 +138,31 @@ class SliceSet:
         return next(iter(self.listed.items()))
 
     def for_company(self, company: int) -> SliceSet:
-        """The slices of one company, with their numbers kept."""
-        kept = None
+        """The slices of one company."""
+        if self.listed is not None:
+            return self._keep(n for n, s in self.listed.items() if s.empresa == company)
+        return SliceSet(self.df.filter(F.col("empresa") == company), None, self.span)
+
+    def last_of_companies(self) -> SliceSet:
+        """The last slice of each company."""
+        if self.listed is not None:
+            return self._keep({s.empresa: n for n, s in self.listed.items()}.values())
+        last = self.df.groupBy("empresa").agg(
+            F.max("slice_id").alias("slice_id"),
+            F.max_by(F.struct("fecha", "estado"), "slice_id").alias("of"),
+        )
+        return SliceSet._measured(last.select("slice_id", "of.fecha", "empresa", "of.estado"))
+
+    def since_last_of(self, company: int) -> SliceSet:
+        """The last slice of a company and all later ones; every slice if it has none."""
         if self.listed is not None:
-            kept = {n: s for n, s in self.listed.items() if s.empresa == company}
-        return SliceSet(self.df.filter(F.col("empresa") == company), kept, self.span)
+            own = [n for n, s in self.listed.items() if s.empresa == company]
+            return self._keep(n for n in self.listed if not own or n >= max(own))
+        of_company = self.df.filter(F.col("empresa") == company)
+        last = of_company.agg(F.max("slice_id")).first()[0]
+        if last is None:
+            return self
+        return SliceSet._measured(self.df.filter(F.col("slice_id") >= F.lit(last)))
 
     def companies(self) -> DataFrame:
         return self.df.select("empresa").distinct()

@@ -7,19 +7,20 @@ that job be lost, ``publish`` can be run again on the same contents.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from asiento.context import RunContext
-from asiento.operators.invoices import post_invoices
-from asiento.operators.payments import payment_rows
 from asiento.operators.state import (
     apply_invoice_runs,
     apply_payment_runs,
     is_invoice,
     purged_payments,
 )
+from asiento.plans.posting import lasting_invoices, lasting_payments
 from asiento.slices import SliceSet
 from asiento.sources.schemas import JOURNAL
 from asiento.sources.shared import write_shared
@@ -34,6 +35,7 @@ class JournalTable:
     def __init__(self, spark: SparkSession, path: str, sink_decimal: tuple[int, int] | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.sink_decimal = sink_decimal
         self.schema = T.StructType(
             [
                 T.StructField(field.name, T.DecimalType(*sink_decimal))
@@ -73,7 +75,7 @@ class JournalTable:
         """Post the invoices of ``slices`` in order."""
         companies = [row.empresa for row in slices.companies().collect()]
         old = self._touched(INVOICES, companies)
-        rows = post_invoices(tables, slices, ctx)
+        rows = lasting_invoices(tables, slices, ctx)
         self._replace(apply_invoice_runs(old, rows, slices), INVOICES, companies)
 
     def run_payments(self, tables: Tables, slices: SliceSet, ctx: RunContext) -> None:
@@ -82,7 +84,8 @@ class JournalTable:
         Besides the slices' companies this touches those of stray payment lines, of the
         second system and of purged documents: one row per company reaches the driver.
         """
-        rows = write_shared(payment_rows(tables, slices, ctx), "payment-rows")
+        ctx = replace(ctx, sink_decimal=self.sink_decimal)
+        rows = write_shared(lasting_payments(tables, slices, ctx), "payment-rows")
         purged = write_shared(purged_payments(tables.payment, slices), "purged-payments")
         others = self._partitions().filter(F.col("doc_class") == OTHERS)
         hit = others.join(purged, F.col("in_num_documento") == F.col("purged"), "left_semi")
@@ -120,9 +123,9 @@ class JournalTable:
 
     def publish(self, staged: DataFrame, doc_class: str, companies: list[int | None]) -> None:
         """Replace the partitions of ``companies`` by the rows of ``staged``."""
+        # The staged files are balanced already: no second shuffle.
         (
-            staged.hint("rebalance", *PARTITION)
-            .write.mode("overwrite")
+            staged.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*PARTITION)
             .parquet(self.path)

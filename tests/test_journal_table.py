@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import pytest
 from conftest import rows
 
+from asiento.operators.state import append_rows
 from asiento.plans import posting
 from asiento.slices import SliceSet
+from asiento.sources.schemas import JOURNAL
 from asiento.sources.journal import JournalTable
 from asiento.streaming.requests import post_requests
 from catalogue import fixtures
@@ -51,7 +55,7 @@ def test_a_partition_without_rows_is_emptied(spark, tables, initial, ctx, tmp_pa
 def test_untouched_partitions_keep_their_files(spark, tables, initial, ctx, tmp_path):
     table = JournalTable(spark, str(tmp_path / "journal"))
     table.create(initial)
-    before = set(table.path and (tmp_path / "journal").glob("*/*/*.parquet"))
+    before = set((tmp_path / "journal").glob("*/*/*.parquet"))
     table.run_invoices(tables, SliceSet.of(spark, [("1997-03-01", 1, "G")]), ctx)
     after = set((tmp_path / "journal").glob("*/*/*.parquet"))
     changed = {p.parent.name for p in before ^ after if p.parent.parent.name == "doc_class=invoice"}
@@ -68,6 +72,27 @@ def test_a_new_journal_takes_a_first_run(spark, tables, ctx, tmp_path):
     assert table.read().schema["in_valor"].dataType.simpleString() == "decimal(18,2)"
 
 
+def test_a_decimal_journal_purges_what_rounds_to_zero(spark, billing, ctx, tmp_path):
+    forms = [dict(fp_num_pago=n, fp_forma_pago="EFE", fp_valor=v) for n, v in ((1, 0.004), (2, 0.006))]
+    table = JournalTable(spark, str(tmp_path / "journal"), sink_decimal=(18, 2))
+    table.create()
+    table.run(billing(payment_form=forms), SliceSet.of(spark, [("2024-01-05", 1, "G")]), ctx)
+    assert rows(table.read(), "in_num_documento", "in_valor") == [(2, Decimal("0.01"))]
+
+
+def test_rows_without_company_stay(spark, billing, ctx, tmp_path):
+    kept = [(7, 6, None), (8, None, 1), (9, 0, None)]
+    given = spark.createDataFrame(
+        kept, "in_num_documento bigint, in_tipo_documento int, in_cod_empresa bigint"
+    )
+    table = JournalTable(spark, str(tmp_path / "journal"))
+    table.create(append_rows(spark.createDataFrame([], JOURNAL), given))
+    # Document 9 is purged, and its partition is the one without company.
+    tables = billing(payment=[dict(p_numero=9, p_tipo_docum=5)])
+    table.run(tables, SliceSet.of(spark, [("2024-01-05", 1, "G")]), ctx)
+    assert rows(table.read(), "in_num_documento") == [(7,), (8,)]
+
+
 def test_requests_from_a_stream_are_posted_in_order(spark, tables, initial, ctx, tmp_path):
     table = JournalTable(spark, str(tmp_path / "journal"))
     table.create(initial)

@@ -71,11 +71,12 @@ def test_many_slices_post_what_single_slices_post(spark, tables, ctx):
         same(post(tables, together, ctx).drop(*ROW_COLUMNS), alone)
 
 
-def test_final_state_equals_one_run_after_the_other(spark, sf_dir, tables, ctx):
+@pytest.mark.parametrize("order", [SLICES, SLICES[::-1], SLICES[3:]], ids=["a", "b", "c"])
+def test_final_state_equals_one_run_after_the_other(spark, sf_dir, tables, ctx, order):
     """The set-wise state against the plain steps of each run, in order."""
     journal = fixtures.initial_journal(spark, sf_dir)
     step = journal
-    for one in SLICES:
+    for one in order:
         slices, company = SliceSet.of(spark, [one]), one[1]
         step = state.append_rows(
             state.clear_invoices(step, company), post_invoices(tables, slices, ctx)
@@ -85,7 +86,9 @@ def test_final_state_equals_one_run_after_the_other(spark, sf_dir, tables, ctx):
         )
         step = state.purge_documents(step, state.purged_payments(tables.payment, slices))
         step = state.purge_zeros(step, company).checkpoint()
-    same(posting.final_state(journal, tables, SliceSet.of(spark, SLICES), ctx), step)
+    listed = SliceSet.of(spark, order)
+    same(posting.final_state(journal, tables, listed, ctx), step)
+    same(posting.final_state(journal, tables, SliceSet.from_frame(listed.df), ctx), step)
 
 
 def test_invoice_runs_are_idempotent(spark, sf_dir, tables, ctx):
@@ -102,3 +105,15 @@ def test_present_slices_are_the_calendar_slices_with_rows(spark, tables, ctx):
         post_invoices(tables, found, ctx).drop(*ROW_COLUMNS),
         post_invoices(tables, invoice_calendar(spark), ctx).drop(*ROW_COLUMNS),
     )
+
+
+def test_only_lasting_slices_are_posted(spark):
+    listed = SliceSet.of(spark, SLICES)
+    stored = SliceSet.from_frame(listed.df)
+    for slices in (listed, stored):
+        last = slices.last_of_companies().df.select("slice_id", "empresa", "estado").collect()
+        assert sorted(map(tuple, last)) == [(5, 3, "R"), (6, 2, "R"), (7, 1, "R")]
+        for company, first in ((1, 7), (2, 6), (3, 5), (4, 1)):
+            numbers = slices.since_last_of(company).df.select("slice_id").collect()
+            assert sorted(n for (n,) in numbers) == list(range(first, 8))
+    assert listed.last_of_companies().span == stored.last_of_companies().span
