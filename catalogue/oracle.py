@@ -457,10 +457,13 @@ def _needs(text: str) -> frozenset[str]:
 
 
 def statement(
-    body: str, slices: str | None = None, extra: dict[str, str] | None = None
+    body: str,
+    slices: str | None = None,
+    extra: dict[str, str] | None = None,
+    tables: dict[str, str] = TABLES,
 ) -> str:
     """``body`` with the common table expressions it needs, in order of use."""
-    known = {**TABLES, **ROWS, **(extra or {})}
+    known = {**tables, **ROWS, **(extra or {})}
     if slices is not None:
         known["slices"] = slices
     ordered: dict[str, str] = {}
