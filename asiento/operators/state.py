@@ -77,6 +77,8 @@ def purge_zeros(journal: DataFrame, company: int) -> DataFrame:
 
 def settle_payments(rows: DataFrame, purged: DataFrame) -> DataFrame:
     """What each payment run leaves of its own rows, run by run."""
+    # Grouped by the join's keys: repeated payments shrink before they move.
+    purged = purged.groupBy("purged", "purged_on").agg(F.max("last_run").alias("last_run"))
     return _without_zeros(rows).join(
         purged, _purged_by(F.col("purged_on") == F.col("slice_fecha")), "left_anti"
     )
@@ -95,6 +97,7 @@ def apply_payment_runs(
     ``purged`` comes from ``purged_payments`` for the same slices.
     """
     remaining = _overwrite(journal, _without_zeros(rows), slices, is_other())
+    purged = purged.groupBy("purged").agg(F.max("last_run").alias("last_run"))
     since = F.col("slice_id").isNull() | (F.col("last_run") >= F.col("slice_id"))
     return remaining.join(purged, _purged_by(since), "left_anti").select(*JOURNAL.names)
 

@@ -113,8 +113,17 @@ def replay_reversals(
     The dates are posted for company 1 and its fixed user whatever the company of the
     call is; ``replay_company="requested"`` posts them for the company of the call.
     """
+    documents, slices, ctx = replay_slices(tables, calls, ctx, replay_company)
+    return Replay(documents, slices, journal_by_slice(tables, slices, ctx))
+
+
+def replay_slices(
+    tables: Tables,
+    calls: SliceSet,
+    ctx: RunContext,
+    replay_company: int | str = REPLAY_COMPANY,
+) -> tuple[DataFrame, SliceSet, RunContext]:
+    """Documents of a replay, the slices it posts, and the parameters it posts them with."""
     documents = reversed_documents(tables, calls, ctx)
     target = None if replay_company == "requested" else int(replay_company)
-    slices = reversal_slices(documents, target)
-    ctx = replace(ctx, user=REPLAY_USER)
-    return Replay(documents, slices, journal_by_slice(tables, slices, ctx))
+    return documents, reversal_slices(documents, target), replace(ctx, user=REPLAY_USER)

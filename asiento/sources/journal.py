@@ -20,7 +20,8 @@ from asiento.operators.state import (
     is_invoice,
     purged_payments,
 )
-from asiento.plans.posting import lasting_invoices, lasting_payments
+from asiento.plans.posting import lasting_invoices, lasting_payments, replay_slices
+from asiento.plans.rules import REPLAY_COMPANY
 from asiento.slices import SliceSet
 from asiento.sources.schemas import JOURNAL
 from asiento.sources.shared import write_shared
@@ -105,6 +106,17 @@ class JournalTable:
         self.run_invoices(tables, slices, ctx)
         self.run_payments(tables, slices, ctx)
 
+    def replay(
+        self,
+        tables: Tables,
+        calls: SliceSet,
+        ctx: RunContext,
+        replay_company: int | str = REPLAY_COMPANY,
+    ) -> None:
+        """Post again, as reversed, the accounting dates of the documents the calls find."""
+        slices, ctx = replay_slices(tables, calls, ctx, replay_company)[1:]
+        self.run(tables, slices, ctx)
+
     # -- replacing partitions -----------------------------------------------------------
 
     def _touched(self, doc_class: str, companies: list[int | None]) -> DataFrame:

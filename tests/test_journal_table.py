@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from conftest import rows
 
+from asiento.operators.reversals import reversal_calls
 from asiento.operators.state import append_rows
 from asiento.plans import posting
 from asiento.slices import SliceSet
@@ -93,6 +94,15 @@ def test_rows_without_company_stay(spark, billing, ctx, tmp_path):
     assert rows(table.read(), "in_num_documento") == [(7,), (8,)]
 
 
+def test_a_replay_on_files_equals_the_final_state(spark, tables, initial, ctx, tmp_path):
+    table = JournalTable(spark, str(tmp_path / "journal"))
+    table.create(initial)
+    calls = reversal_calls(spark, [("2024-02-05", 1), ("2024-02-03", 2)])
+    table.replay(tables, calls, ctx)
+    replay = posting.replay_reversals(tables, calls, ctx)
+    same(table.read(), posting.final_state(initial, tables, replay.slices, ctx))
+
+
 def test_requests_from_a_stream_are_posted_in_order(spark, tables, initial, ctx, tmp_path):
     table = JournalTable(spark, str(tmp_path / "journal"))
     table.create(initial)
