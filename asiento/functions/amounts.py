@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,9 +41,10 @@ def form_amounts(
     }
 
 
-def choose(selector: Column, options: dict[str, Column]) -> Column:
+def choose(selector: Column, options: dict[str | int, Column]) -> Column:
     """The option that ``selector`` names."""
-    chosen: Column | Callable = F
-    for name, column in options.items():
+    (first, column), *others = options.items()
+    chosen = F.when(selector == first, column)
+    for name, column in others:
         chosen = chosen.when(selector == name, column)
     return chosen
