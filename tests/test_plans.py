@@ -192,3 +192,11 @@ def test_payments_written_by_day(spark, stored, ctx, tmp_path):
         posting.post_payments(replace(stored, **by_day), slices, ctx),
         posting.post_payments(stored, slices, ctx),
     )
+
+
+def test_purged_payments_are_computed_once(spark, stored, ctx):
+    """The anti join is planned in each branch of the union, over one shared exchange."""
+    with settings(spark, **NO_BROADCAST):
+        df = executed(posting.post_payments(stored, payment_calendar(spark), ctx))
+        final = plan(df, "simple").split("== Initial Plan ==")[0]
+    assert len(re.findall(r"ReusedExchange \[purged", final)) == 2
