@@ -200,3 +200,20 @@ def test_purged_payments_are_computed_once(spark, stored, ctx):
         df = executed(posting.post_payments(stored, payment_calendar(spark), ctx))
         final = plan(df, "simple").split("== Initial Plan ==")[0]
     assert len(re.findall(r"ReusedExchange \[purged", final)) == 2
+
+
+def test_one_slice_filters_its_look_ups_before_they_shuffle(spark, stored, ctx):
+    """Bloom filters of the slice's lines reach the scans of the tables these look up."""
+    bloom = {
+        "optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold": "1",
+        "optimizer__runtime__bloomFilter__creationSideThreshold": "100g",
+    }
+    invoices = SliceSet.of(spark, [("1997-03-01", 1, "G")])
+    payments = SliceSet.of(spark, [("2024-01-05", 1, "G")])
+    with settings(spark, **NO_BROADCAST, **bloom):
+        text = plan(invoice_rows(stored, invoices, ctx, ["insurer_receivable"]), "simple")
+        assert re.search(r"isnotnull\(fa_numero.*might_contain", text)
+        assert re.search(r"isnotnull\(ot_codigo.*might_contain", text)
+        text = plan(payment_rows(stored, payments, ctx, ["receivable"]), "simple")
+        assert re.search(r"p_tipo_docum.*might_contain", text)
+        assert re.search(r"fa_cod_empresa.*might_contain", text)
