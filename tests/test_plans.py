@@ -70,6 +70,9 @@ def test_payments_scan_the_forms_of_each_system_once(spark, stored, ctx):
     assert scans(df, "ext_payment_form") == 1
     assert scans(df, "payment_line") == 1
     assert scans(df, "payment") == 2
+    assert scans(df, "payment_account_map") == 3
+    assert scans(df, "bank_account_map") == 1
+    assert scans(df, "ledger_account") == 1
 
 
 @pytest.mark.parametrize("many", [False, True])
