@@ -7,6 +7,7 @@ that job be lost, ``publish`` can be run again on the same contents.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,9 +25,11 @@ from asiento.plans.posting import lasting_invoices, lasting_payments, replay_sli
 from asiento.plans.rules import REPLAY_COMPANY
 from asiento.slices import SliceSet
 from asiento.sources.schemas import JOURNAL
-from asiento.sources.shared import write_shared
+from asiento.sources.shared import new_path, write_shared
 from asiento.sources.tables import Tables
 
+log = logging.getLogger(__name__)
+
 INVOICES, OTHERS = "invoice", "other"
 PARTITION = ("doc_class", "in_cod_empresa")
 NO_COMPANY = "__HIVE_DEFAULT_PARTITION__"
@@ -131,10 +134,18 @@ class JournalTable:
         )
 
     def _replace(self, state: DataFrame, doc_class: str, companies: list[int | None]) -> None:
-        self.publish(write_shared(self._classified(state), "journal"), doc_class, companies)
+        path = new_path(self.spark, "journal")
+        staged = write_shared(self._classified(state), "journal", path)
+        log.info("staged %s rows of companies %s in %s", doc_class, companies, path)
+        self.publish(staged, doc_class, companies)
 
     def publish(self, staged: DataFrame, doc_class: str, companies: list[int | None]) -> None:
-        """Replace the partitions of ``companies`` by the rows of ``staged``."""
+        """Replace the partitions of ``companies`` by the rows of ``staged``.
+
+        Publishing the same rows again changes nothing. After a failure in here, read the
+        folder named in the log and publish it; running the whole run again would find
+        some partitions replaced already.
+        """
         # The staged files are balanced already: no second shuffle.
         (
             staged.write.mode("overwrite")

@@ -22,12 +22,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def write_shared(df: DataFrame, name: str) -> DataFrame:
+def new_path(spark: SparkSession, name: str) -> str:
+    """A folder of its own for one intermediate table."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def write_shared(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once and return the written table.
 
     Later jobs read files instead of recomputing the lineage, a lost executor costs one
     task, and Spark plans joins from the size of the files.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = path or new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -94,6 +94,30 @@ def test_rows_without_company_stay(spark, billing, ctx, tmp_path):
     assert rows(table.read(), "in_num_documento") == [(7,), (8,)]
 
 
+def test_an_interrupted_publication_can_be_finished(
+    spark, tables, initial, ctx, tmp_path, monkeypatch
+):
+    table = JournalTable(spark, str(tmp_path / "journal"))
+    table.create(initial)
+    slices = SliceSet.of(spark, [("2024-01-05", 3, "G")])
+    staged = []
+
+    def interrupted(*arguments):
+        staged.append(arguments)
+        # One partition is replaced before the job is lost.
+        rows, doc_class, companies = arguments
+        JournalTable.publish(table, rows.filter("in_cod_empresa = 1"), doc_class, [1])
+        raise InterruptedError
+
+    monkeypatch.setattr(table, "publish", interrupted)
+    with pytest.raises(InterruptedError):
+        table.run_payments(tables, slices, ctx)
+    monkeypatch.undo()
+    for _ in range(2):
+        table.publish(*staged[0])
+        same(table.read(), posting.payments_state(initial, tables, slices, ctx))
+
+
 def test_a_replay_on_files_equals_the_final_state(spark, tables, initial, ctx, tmp_path):
     table = JournalTable(spark, str(tmp_path / "journal"))
     table.create(initial)
