@@ -84,9 +84,23 @@ def settle_payments(rows: DataFrame, purged: DataFrame) -> DataFrame:
     )
 
 
+def not_cleared_later(rows: DataFrame, slices: SliceSet) -> DataFrame:
+    """Rows of runs that no later run clears, which is one of the row's company."""
+    last_run = slices.df.groupBy(F.col("empresa").alias("run_empresa")).agg(
+        F.max("slice_id").alias("last_run")
+    )
+    cleared = (F.col("in_cod_empresa") == F.col("run_empresa")) & (
+        F.col("last_run") > F.col("slice_id")
+    )
+    return rows.join(last_run, cleared, "left_anti")
+
+
 def apply_invoice_runs(journal: DataFrame, rows: DataFrame, slices: SliceSet) -> DataFrame:
-    """The journal after the invoice runs of ``slices``, in their order."""
-    return _overwrite(journal, rows, slices, is_invoice()).select(*JOURNAL.names)
+    """The journal after the invoice runs of ``slices``, in their order.
+
+    ``rows`` are those of the runs' rows that no later run clears.
+    """
+    return append_rows(_clear_companies(journal, slices, is_invoice()), rows)
 
 
 def apply_payment_runs(
@@ -94,14 +108,26 @@ def apply_payment_runs(
 ) -> DataFrame:
     """The journal after the payment runs of ``slices``, in their order.
 
-    ``purged`` comes from ``purged_payments`` for the same slices.
+    ``rows`` are those of the runs' rows that no later run clears; ``purged`` comes from
+    ``purged_payments`` for the same slices. Old rows carry a NULL ``slice_id``: they
+    precede every run.
     """
-    remaining = _overwrite(journal, _without_zeros(rows), slices, is_other())
+    remaining = _clear_companies(journal, slices, is_other()).unionByName(
+        _without_zeros(rows), allowMissingColumns=True
+    )
     purged = purged.groupBy("purged").agg(F.max("last_run").alias("last_run"))
     since = F.col("slice_id").isNull() | (F.col("last_run") >= F.col("slice_id"))
     return remaining.join(purged, _purged_by(since), "left_anti").select(*JOURNAL.names)
 
 
+def _clear_companies(journal: DataFrame, slices: SliceSet, affected: Column) -> DataFrame:
+    """Old rows less those that the runs' first steps delete."""
+    runs = slices.companies().select(F.col("empresa").alias("run_empresa"))
+    return journal.join(
+        runs, affected & (F.col("in_cod_empresa") == F.col("run_empresa")), "left_anti"
+    )
+
+
 def _without_zeros(rows: DataFrame) -> DataFrame:
     """Rows a run appends, less the zeros its own last step deletes."""
     zero = (F.col("in_valor") == 0) & (F.col("in_cod_empresa") == F.col("slice_empresa"))
@@ -110,22 +136,3 @@ def _without_zeros(rows: DataFrame) -> DataFrame:
 
 def _purged_by(run: Column) -> Column:
     return is_other() & (F.col("in_num_documento") == F.col("purged")) & run
-
-
-def _overwrite(
-    journal: DataFrame, rows: DataFrame, slices: SliceSet, affected: Column
-) -> DataFrame:
-    """Old and new rows that no later run of the same company clears.
-
-    Old rows carry a NULL ``slice_id``: they precede every run.
-    """
-    last_run = slices.df.groupBy(F.col("empresa").alias("run_empresa")).agg(
-        F.max("slice_id").alias("last_run")
-    )
-    cleared = (
-        affected
-        & (F.col("in_cod_empresa") == F.col("run_empresa"))
-        & (F.col("slice_id").isNull() | (F.col("last_run") > F.col("slice_id")))
-    )
-    both = journal.unionByName(rows, allowMissingColumns=True)
-    return both.join(last_run, cleared, "left_anti")

@@ -13,6 +13,7 @@ from asiento.operators.reversals import reversal_slices, reversed_documents
 from asiento.operators.state import (
     apply_invoice_runs,
     apply_payment_runs,
+    not_cleared_later,
     purged_payments,
     settle_payments,
 )
@@ -51,17 +52,17 @@ def lasting_invoices(tables: Tables, slices: SliceSet, ctx: RunContext) -> DataF
 
 
 def lasting_payments(tables: Tables, slices: SliceSet, ctx: RunContext) -> DataFrame:
-    """Payment rows that contain all that later runs of ``slices`` leave.
+    """The payment rows that no later run of ``slices`` clears.
 
     Own forms and advances are of the run's company, and its last run is enough. Forms of
     the second system are of company 1 and last from its last run on. Payment lines may be
-    of any company and come from every run.
+    of any company: those of every run are compared with the later runs.
     """
     own = payment_rows(tables, slices.last_of_companies(), ctx, OWN_COMPANY_BRANCHES)
     ext_slices = slices.since_last_of(EXT_COMPANY)
     ext = payment_rows(tables, ext_slices, ctx, EXT_BRANCHES)
     lines = payment_rows(tables, slices, ctx, [RECEIVABLE_BRANCH])
-    return own.unionByName(ext).unionByName(lines)
+    return own.unionByName(ext).unionByName(not_cleared_later(lines, slices))
 
 
 def invoices_state(

@@ -220,3 +220,21 @@ def test_one_slice_filters_its_look_ups_before_they_shuffle(spark, stored, ctx):
         text = plan(payment_rows(stored, payments, ctx, ["receivable"]), "simple")
         assert re.search(r"p_tipo_docum.*might_contain", text)
         assert re.search(r"fa_cod_empresa.*might_contain", text)
+
+
+@pytest.mark.parametrize("many", [False, True], ids=["one", "many"])
+def test_no_cross_joins_on_plain_tables(spark, stored, sf_dir, ctx, many):
+    """The same with tables whose columns are not expressions of each other."""
+    journal = fixtures.initial_journal(spark, sf_dir)
+    given = [("2024-01-05", 1, "G"), ("2024-01-06", 3, "R")] if many else [("2024-01-05", 1, "G")]
+    listed = SliceSet.of(spark, given)
+    for slices in (listed, SliceSet.from_frame(listed.df)):
+        for options in ({}, NO_BROADCAST):
+            with settings(spark, **options):
+                for df in (
+                    post_invoices(stored, slices, ctx),
+                    posting.post_payments(stored, slices, ctx),
+                    posting.final_state(journal, stored, slices, ctx),
+                ):
+                    text = plan(df, "simple")
+                    assert "NestedLoop" not in text and "Cartesian" not in text
