@@ -4,7 +4,9 @@ import sys
 from datetime import datetime
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
+from pyspark.sql.pandas.types import to_arrow_schema
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
@@ -93,8 +95,9 @@ def billing(spark):
         frames = {}
         for name, schema in SCHEMAS.items():
             filled = [{**DEFAULTS[name], **row} for row in rows.get(name, [])]
-            data = [tuple(row.get(column) for column in schema.names) for row in filled]
-            frames[name] = spark.createDataFrame(data, schema)
+            data = [{column: row.get(column) for column in schema.names} for row in filled]
+            held = pa.Table.from_pylist(data, to_arrow_schema(schema))
+            frames[name] = spark.createDataFrame(held, schema)
         return Tables(**frames)
 
     return build
