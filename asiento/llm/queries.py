@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from asiento.llm.bpe_coding import encode_texts
 from asiento.llm.quality_rules import quality_rules
 from asiento.llm.tables import read_table
+from asiento.llm.token_counts import token_counts
+
+VOCABULARY = "word_bpe_49k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -21,3 +27,14 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
 @query
 def op7_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_texts(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
+@query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
