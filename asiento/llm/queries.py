@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asiento.llm.bpe_coding import encode_texts
+from asiento.llm.language_id import fit, identify
 from asiento.llm.quality_rules import quality_rules
-from asiento.llm.tables import read_table
+from asiento.llm.simhash import near_duplicates
+from asiento.llm.tables import fold_of, read_table
 from asiento.llm.token_counts import token_counts
 
 VOCABULARY = "word_bpe_49k.json"
@@ -24,11 +26,26 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = fold_of(F.col("doc_id"), 4) == 2
+    model = fit(docs.where(~held_out).select("text", "lang"))
+    return identify(docs, model).withColumn("held_out", held_out)
+
+
 @query
 def op7_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(read_table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 @query
 def op9_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
