@@ -9,7 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asiento.llm.bpe_coding import encode_texts
+from asiento.llm import oracle
+from asiento.llm.decontaminate import contamination
 from asiento.llm.language_id import fit, identify
+from asiento.llm.licences import licences
+from asiento.llm.line_dedup import without_boilerplate
 from asiento.llm.quality_rules import quality_rules
 from asiento.llm.simhash import near_duplicates
 from asiento.llm.tables import fold_of, read_table
@@ -23,6 +27,8 @@ ORACLE: dict[str, str] = {}
 
 def query(run: Callable[[SparkSession, str], DataFrame]):
     QUERIES[run.__name__] = run
+    if sql := oracle.SQL.get(run.__name__):
+        ORACLE[run.__name__] = sql
     return run
 
 
@@ -34,6 +40,28 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, model).withColumn("held_out", held_out)
 
 
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    digest = F.sha2(F.array_join("items", ","), 256)
+    return contamination(docs, benchmark).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.array_join("licences", ",").alias("licences"), "n_matches")
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_boilerplate(read_table(spark, sf_dir, "documents"))
+    return found.select("row.doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query
 def op7_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"))
