@@ -14,6 +14,7 @@ from asiento.llm.decontaminate import contamination
 from asiento.llm.language_id import fit, identify
 from asiento.llm.licences import licences
 from asiento.llm.line_dedup import without_boilerplate
+from asiento.llm.lm_score import score_texts
 from asiento.llm.quality_rules import quality_rules
 from asiento.llm.simhash import near_duplicates
 from asiento.llm.tables import fold_of, read_table
@@ -32,6 +33,13 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
+@query
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold_of(F.col("doc_id"), 5) == 1
+    found = score_texts(read_table(spark, sf_dir, "documents"), ~held_out)
+    return found.withColumn("held_out", held_out)
+
+
 @query
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")

@@ -9,7 +9,8 @@ leaves a partition out. Bits that go together are put into one partition, so tha
 left for the others tells fingerprints apart. Dynamic programming picks the thresholds with the
 smallest estimated number of probes and candidates, counted over all fingerprints.
 
-Probing: a fingerprint is a candidate if it meets another one under a partition's key.
+Probing: a fingerprint is a candidate if it meets another one under a partition's key and, by
+the same principle once more, under one of three slices of the other bits.
 Verifying: two fingerprints are within distance 2 exactly if both are within one flip of some
 value. Candidates are grouped by these values; geometry allows no more than 65 in a group,
 and each is tied to the group's smallest after their distance is checked. So the rows grow in
@@ -166,17 +167,37 @@ def _keys(fp: Column, bits: list[int], threshold: int) -> list[Column]:
     return [value, *(value.bitwiseXOR(_bit(b)) for b in bits if threshold > 0)]
 
 
+def _probe_keys(fp: Column, bits: list[int], threshold: int, distance: int, i: int) -> list[Column]:
+    """Keys of one partition, each with one slice of the other bits.
+
+    Whatever agrees on the partition differs in at most ``distance`` of the other bits, so of
+    ``distance + 1`` slices of these at least one agrees as well.
+    """
+    rest = sorted(set(range(BITS)) - set(bits))
+    slices = [rest[k :: distance + 1] for k in range(distance + 1)]
+    return [
+        F.struct(F.lit(i * BITS + j).alias("i"), key.alias("key"), part_of(fp, bits_of).alias("rest"))
+        for key in _keys(fp, bits, threshold)
+        for j, bits_of in enumerate(slices)
+    ]
+
+
 def links(nodes: DataFrame, distance: int = 2, partitions: int = 3) -> DataFrame:
     """Links ``a < b`` that connect whatever lies within ``distance``, from distinct ``fp``."""
     if not 0 <= distance <= 2:
         raise ValueError("a meeting of one-flip neighbourhoods decides distances up to 2")
     fp = F.col("fp")
-    keys = [F.struct(F.lit(i).alias("i"), key.alias("key"))
-            for i, (bits, t) in enumerate(plan(nodes, distance, partitions)) if t >= 0
-            for key in _keys(fp, bits, t)]
-    probes = nodes.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.i", "k.key")
-    shared = probes.groupBy("i", "key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low < high")
-    candidates = probes.join(shared, ["i", "key"], "left_semi").select("fp").distinct()
+    keys = [
+        key
+        for i, (bits, t) in enumerate(plan(nodes, distance, partitions))
+        if t >= 0
+        for key in _probe_keys(fp, bits, t, distance, i)
+    ]
+    probes = nodes.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.*")
+    place = ["i", "key", "rest"]
+    shared = probes.groupBy(*place).agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low < high")
+    candidates = probes.join(shared, place, "left_semi").select("fp").distinct()
+    candidates = write_shared(candidates, "candidates")
     near = F.array(fp, *(fp.bitwiseXOR(_bit(b)) for b in range(BITS)))
     met = candidates.select("fp", F.explode(near).alias("value")).groupBy("value").agg(F.collect_set("fp").alias("fps"))
     tied = met.where(F.size("fps") > 1).select(F.array_min("fps").alias("a"), F.explode("fps").alias("b"))
