@@ -17,6 +17,7 @@ from asiento.llm.line_dedup import without_boilerplate
 from asiento.llm.lm_score import score_texts
 from asiento.llm.quality_rules import quality_rules
 from asiento.llm.simhash import near_duplicates
+from asiento.llm.suffix_dedup import remove_repeats
 from asiento.llm.tables import fold_of, read_table
 from asiento.llm.token_counts import token_counts
 
@@ -70,6 +71,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
 
 
+@query
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op7_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"))

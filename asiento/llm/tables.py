@@ -22,7 +22,7 @@ def row_key(text: Column) -> Column:
     Rows that agree in both are copies, and every operator decides alike about copies. The
     key is a function of the row, so a task that runs again gives the same one.
     """
-    return F.xxhash64(F.coalesce(text, F.lit("")), F.reverse(F.coalesce(text, F.lit(""))))
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def fold_ascii(text: Column) -> Column:
