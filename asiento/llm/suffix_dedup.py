@@ -40,7 +40,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from asiento.llm.tables import row_key, write_shared
+from asiento.llm.tables import write_shared
 
 U = np.uint64
 
@@ -183,7 +183,9 @@ class Scans:
 
     def __init__(self, docs: DataFrame, p: Parameters):
         text = F.col("text").cast("string")
-        self.texts = docs.select("doc_id", row_key(text).alias("row_key"), text.alias("text"))
+        # One number for a row and its copies keeps what is exchanged small.
+        key = F.xxhash64(F.col("doc_id"), F.coalesce(text, F.lit("")))
+        self.texts = docs.select("doc_id", key.alias("row_key"), text.alias("text"))
         self.id_type = self.texts.schema["doc_id"].dataType.simpleString()
         self.p = p
 
@@ -198,26 +200,26 @@ class Scans:
 
         return self.texts.select("text").mapInArrow(run, "t long, n long")
 
-    def occurrences(self, repeated: Bitmap) -> DataFrame:
-        """Phrases whose trigger may be found twice or more."""
+    def occurrences(self, column: str, wanted: Bitmap) -> DataFrame:
+        """Phrases whose ``column`` (trigger or phrase) may be among those wanted."""
         p = self.p
 
         def run(batches):
             for batch in batches:
-                keys = batch.column(1).to_numpy(zero_copy_only=False)
-                for found in parse(_texts(batch, 2), p):
-                    at = np.flatnonzero(repeated.has(found.trigger))
-                    rows = pa.array(found.row[at])
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(found.start[at]), pa.array(found.windows[at].astype(np.int32)),
-                         pa.array(found.trigger[at]), pa.array(found.phrase[at]), pa.array(_slot(found, keys)[at])],
-                        ["doc_id", "row_key", "start", "windows", "t", "phrase", "slot"],
-                    )
-
-        return self.texts.mapInArrow(run, f"doc_id {self.id_type}, row_key long, start long, windows int, t long, phrase long, slot long")
-
-    def windows(self, representatives: Bitmap) -> DataFrame:
-        """``phrase, no, window``: hashes of the windows of the occurrences that represent a phrase."""
+                keys = batch.column(0).to_numpy(zero_copy_only=False)
+                for found in parse(_texts(batch, 1), p):
+                    at = np.flatnonzero(wanted.has(getattr(found, column)))
+                    columns = (keys[found.row[at]], found.start[at], found.windows[at].astype(np.int32), found.trigger[at], found.phrase[at], _slot(found, keys)[at])
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["row_key", "start", "windows", "t", "phrase", "slot"])
+
+        out = "row_key long, start long, windows int, t long, phrase long, slot long"
+        return self.texts.select("row_key", "text").mapInArrow(run, out)
+
+    def windows(self, representatives: Bitmap, among: Bitmap | None = None) -> DataFrame:
+        """``row_key, start, window``: each window of the occurrences that represent a phrase.
+
+        With ``among``, only windows whose hash may be in that set.
+        """
         p = self.p
 
         def run(batches):
@@ -225,16 +227,17 @@ class Scans:
                 keys = batch.column(0).to_numpy(zero_copy_only=False)
                 for found in parse(_texts(batch, 1), p):
                     at = np.flatnonzero(representatives.has(_slot(found, keys)))
-                    if len(at):
-                        hashes = [found.window_hashes(n) for n in at]
-                        sizes = [len(h) for h in hashes]
-                        numbers = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.repeat(found.phrase[at], sizes)), pa.array(numbers), pa.array(np.concatenate(hashes))],
-                            ["phrase", "no", "window"],
-                        )
-
-        return self.texts.select("row_key", "text").mapInArrow(run, "phrase long, no int, window long")
+                    if not len(at):
+                        continue
+                    window = np.concatenate([found.window_hashes(n) for n in at])
+                    sizes = found.windows[at]
+                    owner = np.repeat(keys[found.row[at]], sizes)
+                    start = np.repeat(found.start[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(len(window))
+                    kept = among.has(window) if among else slice(None)
+                    columns = (owner[kept], start[kept], window[kept])
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["row_key", "start", "window"])
+
+        return self.texts.select("row_key", "text").mapInArrow(run, "row_key long, start long, window long")
 
     def candidates(self, repeated: Bitmap) -> DataFrame:
         """One row for each text; ``packed`` is NULL where no phrase may repeat, and the result is known."""
@@ -257,28 +260,31 @@ class Scans:
 
 
 def repeated_spans(docs: DataFrame, p: Parameters) -> tuple[DataFrame, DataFrame]:
-    """Candidate texts, and ``doc_id, row_key, spans`` with the windows that repeat."""
+    """Candidate texts, and ``row_key, spans``: runs of windows that repeat."""
     scans = Scans(docs, p)
     often = scans.triggers().groupBy("t").agg(F.sum("n").alias("n")).where("n > 1")
     repeated = Bitmap(often, "t", p)
-
-    occurrences = scans.occurrences(repeated)
     dictionary = write_shared(
-        occurrences.groupBy("phrase").agg(F.count("*").alias("n"), F.min("t").alias("t"), F.min("slot").alias("slot")), "phrases"
-    )
+        scans.occurrences("trigger", repeated).groupBy("phrase").agg(F.count("*").alias("n"), F.min("t").alias("t"), F.min("slot").alias("slot")),
+        "phrases",
+    )
+
+    # Phrases found twice repeat as a whole.
+    whole = dictionary.where("n > 1").select("phrase")
+    inside = scans.occurrences("phrase", Bitmap(whole, "phrase", p)).join(whole, "phrase", "left_semi")
+
+    # Where a trigger has several phrases, each phrase brings its windows once. A window that
+    # comes twice is in two phrases; should the bitmap let a second occurrence of one phrase through, that
+    # phrase is found twice, and its windows do repeat.
     several = dictionary.groupBy("t").agg(F.count("*").alias("phrases")).where("phrases > 1").select("t")
-    edges = dictionary.join(several, "t", "left_semi").select("n", "slot")
-    of_edges = scans.windows(Bitmap(edges, "slot", p))
-    shared = of_edges.groupBy("window").agg(F.min("phrase").alias("low"), F.max("phrase").alias("high")).where("low != high").select("window")
-    # Phrases found twice repeat as a whole; the others need to know which windows do.
-    lone = scans.windows(Bitmap(edges.where("n = 1"), "slot", p))
-    some = lone.join(shared, "window", "left_semi").groupBy("phrase").agg(F.collect_set("no").alias("nos"))
-
-    whole = dictionary.where("n > 1").select("phrase", F.lit(None).cast("array<int>").alias("nos"))
-    # A bitmap may let an occurrence of a phrase found twice into ``lone``: it is whole already.
-    partly = some.join(dictionary.where("n = 1").select("phrase"), "phrase", "left_semi")
-    placed = occurrences.select("doc_id", "row_key", "start", "windows", "phrase").join(whole.union(partly), "phrase")
-    spans = placed.groupBy("doc_id", "row_key").agg(F.collect_list(F.struct("start", "windows", "nos")).alias("spans"))
+    edges = write_shared(dictionary.join(several, "t", "left_semi").select("n", "slot"), "edges")
+    windows = scans.windows(Bitmap(edges, "slot", p)).groupBy("window").agg(F.count("*").alias("n"))
+    shared = write_shared(windows.where("n > 1").select("window"), "windows")
+    lone = scans.windows(Bitmap(edges.where("n = 1"), "slot", p), Bitmap(shared, "window", p))
+    partly = lone.join(shared, "window", "left_semi").select("row_key", "start", F.lit(1).alias("windows"))
+
+    runs = inside.select("row_key", "start", "windows").union(partly)
+    spans = runs.groupBy("row_key").agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
     return scans.candidates(repeated), spans
 
 
@@ -286,9 +292,8 @@ def remove_spans(text: bytes, spans, length: int) -> tuple[bytes, int, int]:
     """What is left, the number of bytes removed, and of maximal runs removed."""
     edge = np.zeros(len(text) + 1, np.int64)
     for span in spans:
-        begins = span["start"] + (np.arange(span["windows"]) if span["nos"] is None else np.array(span["nos"], np.int64))
-        np.add.at(edge, begins, 1)
-        np.add.at(edge, begins + length, -1)
+        edge[span["start"]] += 1
+        edge[span["start"] + span["windows"] - 1 + length] -= 1
     gone = np.cumsum(edge)[:-1] > 0
     runs = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))
     return np.frombuffer(text, np.uint8)[~gone].tobytes(), int(gone.sum()), runs
@@ -300,9 +305,7 @@ def remove_repeats(docs: DataFrame, p: Parameters = Parameters()) -> DataFrame:
     ``kept`` holds the remaining bytes of texts that lost some, and is NULL for the others.
     """
     texts, spans = repeated_spans(docs, p)
-    other = spans.withColumnsRenamed({"doc_id": "id", "row_key": "key"})
-    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("row_key") == F.col("key"))
-    joined = texts.join(other, same, "left").select("doc_id", "n_bytes", "packed", "whole_sha256", "spans")
+    joined = texts.join(spans, "row_key", "left").select("doc_id", "n_bytes", "packed", "whole_sha256", "spans")
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor().decompress
