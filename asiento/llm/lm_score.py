@@ -36,6 +36,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from asiento.llm.tables import write_shared
 
@@ -46,8 +47,8 @@ END, START = b"\n", b"\r"  # no word holds white space, so neither is a word
 @dataclass(frozen=True)
 class Parameters:
     order: int = 2  # of the longest n-gram
-    block: int = 3_000_000  # tokens
-    keys: int = 3_000_000  # about so many in a range of hashes
+    block: int = 1_500_000  # tokens
+    keys: int = 1_500_000  # about so many in a range of hashes
     deleted: int = 5  # one training text in so many is deleted for the weights
     steps: int = 4  # of the histogram for each doubling of an estimate
     rounds: int = 40  # of expectation-maximisation
@@ -125,8 +126,6 @@ def blocks(docs: DataFrame, part: Column, p: Parameters) -> DataFrame:
         .add("kept_tokens", "long").add("train_tokens", "long").add("words", "binary").add("ids", "binary")
         .add("lengths", "binary").add("parts", "binary").add("doc_ids", T.ArrayType(id_type))
     )
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     out = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
