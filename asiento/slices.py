@@ -87,10 +87,12 @@ class SliceSet:
         )
 
     @staticmethod
-    def present(*facts: tuple[DataFrame, str, str, str]) -> SliceSet:
+    def present(
+        *facts: tuple[DataFrame, str, str, str], ctx: RunContext = RunContext()
+    ) -> SliceSet:
         """The slices that occur in facts given as (table, date, company, state column).
 
-        The distinct combinations are as many as days x companies x states. They are
+        States that ``ctx`` takes for equal are one slice; pass the context of the runs. The distinct combinations are as many as days x companies x states. They are
         written once to the shared folder: that gives the later joins a measured size.
         """
         found = None
@@ -101,7 +103,12 @@ class SliceSet:
                 F.col(estado).alias("estado"),
             )
             found = part if found is None else found.unionByName(part)
-        found = found.dropna().distinct()
+        found = (
+            found.dropna()
+            .groupBy("fecha", "empresa", ctx.text(F.col("estado")).alias("compared"))
+            .agg(F.min(F.col("estado")).alias("estado"))
+            .drop("compared")
+        )
         # An ISO date, a padded company and the state sort like the slice itself.
         slice_id = F.concat_ws(
             "|",
@@ -113,19 +120,30 @@ class SliceSet:
 
     @staticmethod
     def from_frame(df: DataFrame) -> SliceSet:
-        """Slices computed by a query: written once, read back with a known size."""
-        return SliceSet._measured(write_shared(df.select(*COLUMNS), "slices"))
+        """Slices computed by a query: written once, read back with a known size.
+
+        Raises ValueError unless every slice has a number of its own.
+        """
+        stored = write_shared(df.select(*COLUMNS), "slices")
+        n, numbered, distinct = stored.agg(
+            F.count("*"), F.count("slice_id"), F.count_distinct("slice_id")
+        ).first()
+        if not n == numbered == distinct:
+            raise ValueError(f"{n} slices have {distinct} different numbers, {n - numbered} have none")
+        return SliceSet._measured(stored)
 
     @staticmethod
     def _measured(stored: DataFrame) -> SliceSet:
         first, last = stored.agg(F.min("fecha"), F.max("fecha")).first()
         return SliceSet(stored, None, (first, last) if first else None)
 
-    def _keep(self, numbers: Iterable[int]) -> SliceSet:
-        """Some of the listed slices, with their numbers."""
+    def _keep(self, numbers: Iterable[int], condition: Column | None = None) -> SliceSet:
+        """Some of the listed slices, with their numbers; ``condition`` says the same in a few words."""
         kept = {n: self.listed[n] for n in numbers}
+        if len(kept) == len(self.listed):
+            return self
         dates = [s.fecha for s in kept.values()]
-        df = self.df.filter(F.col("slice_id").isin(list(kept)))
+        df = self.df.filter(F.col("slice_id").isin(list(kept)) if condition is None else condition)
         return SliceSet(df, kept, (min(dates), max(dates)) if dates else None)
 
     # -- use --------------------------------------------------------------------
@@ -140,7 +158,8 @@ class SliceSet:
     def for_company(self, company: int) -> SliceSet:
         """The slices of one company."""
         if self.listed is not None:
-            return self._keep(n for n, s in self.listed.items() if s.empresa == company)
+            numbers = (n for n, s in self.listed.items() if s.empresa == company)
+            return self._keep(numbers, F.col("empresa") == company)
         return SliceSet(self.df.filter(F.col("empresa") == company), None, self.span)
 
     def last_of_companies(self) -> SliceSet:
@@ -156,8 +175,10 @@ class SliceSet:
     def since_last_of(self, company: int) -> SliceSet:
         """The last slice of a company and all later ones; every slice if it has none."""
         if self.listed is not None:
-            own = [n for n, s in self.listed.items() if s.empresa == company]
-            return self._keep(n for n in self.listed if not own or n >= max(own))
+            last = max((n for n, s in self.listed.items() if s.empresa == company), default=None)
+            if last is None:
+                return self
+            return self._keep((n for n in self.listed if n >= last), F.col("slice_id") >= last)
         of_company = self.df.filter(F.col("empresa") == company)
         last = of_company.agg(F.max("slice_id")).first()[0]
         if last is None:
@@ -178,9 +199,10 @@ class SliceSet:
         if first == last:
             inside = F.to_date(column) == F.lit(first)
         else:
-            inside = (F.col(column) >= F.lit(first).cast("timestamp_ntz")) & (
-                F.col(column) < F.lit(last + timedelta(days=1)).cast("timestamp_ntz")
-            )
+            inside = F.col(column) >= F.lit(first).cast("timestamp_ntz")
+            if last < date.max:  # no day follows the last one there is
+                until = F.lit(last + timedelta(days=1)).cast("timestamp_ntz")
+                inside = inside & (F.col(column) < until)
         if day_column(column) in fact.columns:
             inside = inside & F.col(day_column(column)).between(F.lit(first), F.lit(last))
         return inside

@@ -9,7 +9,32 @@ from __future__ import annotations
 import re
 from functools import cache
 
-from asiento.operators.seeds import LOOKUP_ACCOUNTS, LOOKUP_UNIT, SEEDS
+# Fixed values, stated here apart from the engine: seeded accounts of companies 3 and 2, and the
+# accounts that are looked up.
+SEEDS = {
+    3: [
+        ("1121001", "CTAS X COBRAR CLIENTES", 1),
+        ("1142005", "ITBIS RETENIDO CARDNET", 2),
+        ("5800004", "COMISIONES CARDNET", 3),
+        ("1112003", "PRIMA CTA AHORRO US$", 6),
+        ("4900001", "DESC. POR N/C SERV.DEL PINTADO", 7),
+        ("2141006", "AVANCES DE CLIENTES", 8),
+        ("2131003", "ITBIS COBRADO", 10),
+        ("2141005", "DEPOSITOS EN CTAS. BCO. NO IDENTIFICADOS", 14),
+    ],
+    2: [
+        ("1121001", "CTAS X COBRAR CLIENTES", 1),
+        ("1142005", "ITBIS RETENIDO CARDNET", 2),
+        ("5800004", "COMISIONES CARDNET", 3),
+        ("1112003", "PRIMA CTA AHORRO US$", 6),
+        ("4900002", "DESC. POR  N/C A  FACT. EN SERV. DE SEGURIDAD", 7),
+        ("2141004", "INSTALACIONES PENDIENTES / PAGOS ANTICIPADOS", 8),
+        ("2131003", "ITBIS COBRADO", 10),
+        ("2141005", "DEPOSITOS EN CTAS. BCO. NO IDENTIFICADOS", 14),
+    ],
+}
+LOOKUP_ACCOUNTS = ["1111005", "1121001", "1142011", "2131003", "2141004", "4100001", "4900002"]
+LOOKUP_UNIT = "HSI"
 from catalogue.fixtures import COMPANY_1_PARAMS
 
 RUN_TS = "TIMESTAMP '2024-03-01 00:00:00'"
