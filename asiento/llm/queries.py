@@ -18,7 +18,7 @@ from asiento.llm.lm_score import score_texts
 from asiento.llm.quality_rules import quality_rules
 from asiento.llm.simhash import near_duplicates
 from asiento.llm.suffix_dedup import remove_repeats
-from asiento.llm.tables import fold_of, read_table
+from asiento.llm.tables import fold_of, read_table, ship
 from asiento.llm.token_counts import token_counts
 
 VOCABULARY = "word_bpe_49k.json"
@@ -28,7 +28,11 @@ ORACLE: dict[str, str] = {}
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[run.__name__] = run
+    def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return run(spark, sf_dir)
+
+    QUERIES[run.__name__] = shipped
     if sql := oracle.SQL.get(run.__name__):
         ORACLE[run.__name__] = sql
     return run

@@ -2,12 +2,33 @@
 
 from __future__ import annotations
 
+import tempfile
+from pathlib import Path
+from zipfile import ZipFile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import asiento
 from asiento.sources.shared import write_shared
 
-__all__ = ["fold_ascii", "fold_of", "read_table", "row_key", "write_shared"]
+__all__ = ["fold_ascii", "fold_of", "read_table", "row_key", "ship", "write_shared"]
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give every Python worker of the application this package, wherever it was started."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(asiento.__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="asiento-")) / "asiento.zip"  # Spark sends it on
+    with ZipFile(archive, "w") as files:
+        for file in root.rglob("*.py"):
+            files.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
