@@ -14,13 +14,14 @@ from asiento.llm.decontaminate import clean
 from asiento.llm.language_id import fit, keep_known
 from asiento.llm.line_dedup import drop_boilerplate
 from asiento.llm.simhash import one_of_each
-from asiento.llm.tables import read_table, write_shared
+from asiento.llm.tables import read_table, ship, write_shared
 
 VOCABULARY = "word_bpe_49k.json"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts too far from every language of the input go."""
+    ship(spark)
     return keep_known(docs, fit(docs.select("text", "lang")))
 
 
@@ -31,6 +32,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One text of each group of near-duplicates stays."""
+    ship(spark)
     return one_of_each(docs)
 
 
@@ -41,6 +43,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def bpe_coding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Digests of the ids of each text, and of what they decode to."""
+    ship(spark)
     return encode_texts(docs, public_tokenizers.path(VOCABULARY))
 
 
