@@ -126,13 +126,8 @@ def _insurer_rows(tables: Tables, slices: SliceSet, ctx: RunContext) -> DataFram
     )
     of_invoice = F.col("de_numero") == F.col("fa_numero")
     of_order = F.col("fa_ord_tra") == F.col("ot_codigo")
-    if slices.only is not None:
-        # Few lines: they shrink the invoices before these meet the work orders.
-        insured = lines.join(invoices, of_invoice).join(orders, of_order)
-    else:
-        # Many lines: the narrow invoices find their insurer first, and the wide lines
-        # move once less.
-        insured = lines.join(invoices.join(orders, of_order), of_invoice)
+    # The lines shrink the invoices before these meet the work orders.
+    insured = lines.join(invoices, of_invoice).join(orders, of_order)
     posted = insured.join(
         accounts,
         (F.col("de_item") == F.col("pf_id_producto"))

@@ -365,17 +365,18 @@ def _with_bank_account(posted: DataFrame, tables: Tables, ctx: RunContext) -> Da
     """
     needed = F.when(F.col("g_bank"), F.col("fp_id_banco_cuenta"))
     ledger = tables.ledger_account.select("cu_cuenta", "cu_uni_neg", "cu_descripcion")
-    found = posted.join(
-        tables.bank_account_map.select("bp_id", "bp_cuenta_contable", "bp_uni_neg"),
-        needed == F.col("bp_id"),
-        "left",
-    ).join(
-        ledger,
-        (ctx.text(F.col("bp_cuenta_contable")) == ctx.text(F.col("cu_cuenta")))
-        & (ctx.text(F.col("bp_uni_neg")) == ctx.text(F.col("cu_uni_neg"))),
-        "left",
+    # Two small tables meet first, so that the postings move once.
+    banks = (
+        tables.bank_account_map.select("bp_id", "bp_cuenta_contable", "bp_uni_neg")
+        .join(
+            ledger,
+            (ctx.text(F.col("bp_cuenta_contable")) == ctx.text(F.col("cu_cuenta")))
+            & (ctx.text(F.col("bp_uni_neg")) == ctx.text(F.col("cu_uni_neg"))),
+        )
+        .select("bp_id", "bp_cuenta_contable", "cu_descripcion")
     )
-    return found.filter(~F.col("g_bank") | F.col("cu_cuenta").isNotNull())
+    found = posted.join(banks, needed == F.col("bp_id"), "left")
+    return found.filter(~F.col("g_bank") | F.col("bp_id").isNotNull())
 
 
 # -- journal columns ----------------------------------------------------------------

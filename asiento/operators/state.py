@@ -28,17 +28,15 @@ def is_other() -> Column:
     return F.col("in_tipo_documento") != INVOICE_DOCUMENT
 
 
-# -- single steps -------------------------------------------------------------------
+# -- steps --------------------------------------------------------------------------
 
 
-def clear_invoices(journal: DataFrame, company: int) -> DataFrame:
-    """Delete the invoice rows of a company, of any date and state."""
-    return journal.filter(~definitely(is_invoice() & (F.col("in_cod_empresa") == company)))
-
-
-def clear_payments(journal: DataFrame, company: int) -> DataFrame:
-    """Delete all but the invoice rows of a company, of any date and state."""
-    return journal.filter(~definitely(is_other() & (F.col("in_cod_empresa") == company)))
+def clear_companies(journal: DataFrame, slices: SliceSet, affected: Column) -> DataFrame:
+    """Delete the rows of the slices' companies that are ``affected``, of any date and state."""
+    runs = slices.companies().select(F.col("empresa").alias("run_empresa"))
+    return journal.join(
+        runs, affected & (F.col("in_cod_empresa") == F.col("run_empresa")), "left_anti"
+    )
 
 
 def append_rows(journal: DataFrame, rows: DataFrame) -> DataFrame:
@@ -60,16 +58,19 @@ def purged_payments(payments: DataFrame, slices: SliceSet) -> DataFrame:
     )
 
 
-def purge_documents(journal: DataFrame, purged: DataFrame) -> DataFrame:
-    """Delete non-invoice rows whose document is in the list, whatever their company."""
+def purge_documents(journal: DataFrame, purged: DataFrame, run: Column) -> DataFrame:
+    """Delete non-invoice rows whose document is in the list, whatever their company.
+
+    ``run`` says which of the runs that purge a document come after the row.
+    """
     listed = is_other() & (F.col("in_num_documento") == F.col("purged"))
-    return journal.join(purged, listed, "left_anti")
+    return journal.join(purged, listed & run, "left_anti")
 
 
-def purge_zeros(journal: DataFrame, company: int) -> DataFrame:
-    """Delete non-invoice rows of a company that amount to zero; NULL amounts stay."""
+def purge_zeros(rows: DataFrame, company: Column) -> DataFrame:
+    """Delete non-invoice rows of the run's ``company`` that amount to zero; NULL amounts stay."""
     zero = (F.col("in_valor") == 0) & is_other() & (F.col("in_cod_empresa") == company)
-    return journal.filter(~definitely(zero))
+    return rows.filter(~definitely(zero))
 
 
 # -- runs ---------------------------------------------------------------------------
@@ -79,9 +80,8 @@ def settle_payments(rows: DataFrame, purged: DataFrame) -> DataFrame:
     """What each payment run leaves of its own rows, run by run."""
     # Grouped by the join's keys: repeated payments shrink before they move.
     purged = purged.groupBy("purged", "purged_on").agg(F.max("last_run").alias("last_run"))
-    return _without_zeros(rows).join(
-        purged, _purged_by(F.col("purged_on") == F.col("slice_fecha")), "left_anti"
-    )
+    kept = purge_zeros(rows, F.col("slice_empresa"))
+    return purge_documents(kept, purged, F.col("purged_on") == F.col("slice_fecha"))
 
 
 def not_cleared_later(rows: DataFrame, slices: SliceSet) -> DataFrame:
@@ -100,7 +100,7 @@ def apply_invoice_runs(journal: DataFrame, rows: DataFrame, slices: SliceSet) ->
 
     ``rows`` are those of the runs' rows that no later run clears.
     """
-    return append_rows(_clear_companies(journal, slices, is_invoice()), rows)
+    return append_rows(clear_companies(journal, slices, is_invoice()), rows)
 
 
 def apply_payment_runs(
@@ -112,27 +112,9 @@ def apply_payment_runs(
     ``purged_payments`` for the same slices. Old rows carry a NULL ``slice_id``: they
     precede every run.
     """
-    remaining = _clear_companies(journal, slices, is_other()).unionByName(
-        _without_zeros(rows), allowMissingColumns=True
+    remaining = clear_companies(journal, slices, is_other()).unionByName(
+        purge_zeros(rows, F.col("slice_empresa")), allowMissingColumns=True
     )
     purged = purged.groupBy("purged").agg(F.max("last_run").alias("last_run"))
     since = F.col("slice_id").isNull() | (F.col("last_run") >= F.col("slice_id"))
-    return remaining.join(purged, _purged_by(since), "left_anti").select(*JOURNAL.names)
-
-
-def _clear_companies(journal: DataFrame, slices: SliceSet, affected: Column) -> DataFrame:
-    """Old rows less those that the runs' first steps delete."""
-    runs = slices.companies().select(F.col("empresa").alias("run_empresa"))
-    return journal.join(
-        runs, affected & (F.col("in_cod_empresa") == F.col("run_empresa")), "left_anti"
-    )
-
-
-def _without_zeros(rows: DataFrame) -> DataFrame:
-    """Rows a run appends, less the zeros its own last step deletes."""
-    zero = (F.col("in_valor") == 0) & (F.col("in_cod_empresa") == F.col("slice_empresa"))
-    return rows.filter(~definitely(zero & is_other()))
-
-
-def _purged_by(run: Column) -> Column:
-    return is_other() & (F.col("in_num_documento") == F.col("purged")) & run
+    return purge_documents(remaining, purged, since).select(*JOURNAL.names)

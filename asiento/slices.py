@@ -7,8 +7,10 @@ reads each fact table once.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, datetime, timedelta
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +20,9 @@ from asiento.context import RunContext
 from asiento.sources.facts import day_column
 from asiento.sources.shared import write_shared
 
+# Date ranges that a scan compares with; joins decide exactly.
+RANGES = 32
+
 COLUMNS = ("slice_id", "fecha", "empresa", "estado")
 # What a journal row carries of its slice until it reaches the journal.
 ROW_COLUMNS = ("slice_id", "slice_fecha", "slice_empresa")
@@ -30,6 +35,17 @@ def as_date(value: date | datetime | str) -> date:
     return value.date() if isinstance(value, datetime) else value
 
 
+def cover(days: Iterable[date]) -> tuple[tuple[date, date], ...]:
+    """At most RANGES ranges that hold all ``days``: the widest gaps between days are left out."""
+    ordered = sorted(days)
+    if not ordered:
+        return ()
+    gaps = sorted(zip(ordered, ordered[1:]), key=lambda g: g[0] - g[1])
+    cuts = sorted(g for g in gaps[: RANGES - 1] if g[1] - g[0] > timedelta(days=1))
+    firsts, lasts = [ordered[0], *(b for _, b in cuts)], [*(a for a, _ in cuts), ordered[-1]]
+    return tuple(zip(firsts, lasts))
+
+
 @dataclass(frozen=True)
 class Slice:
     fecha: date
@@ -46,12 +62,17 @@ class SliceSet:
 
     ``df`` holds the slices. ``listed`` repeats them on the driver, by ``slice_id``, when
     the caller gave them as a list, so that their values reach the scans as literals;
-    ``span`` is the first and last date, known for both kinds.
+    ``span`` is the first and last date, known for both kinds. Of computed slices, ``ranges``
+    holds at most RANGES ranges of days that cover their dates, and ``empresa`` and ``estado``
+    the value that all of them share, if they do.
     """
 
     df: DataFrame
     listed: dict[int, Slice] | None = None
     span: tuple[date, date] | None = None
+    ranges: tuple[tuple[date, date], ...] = ()
+    empresa: int | None = None
+    estado: str | None = None
 
     # -- builders ---------------------------------------------------------------
 
@@ -134,8 +155,16 @@ class SliceSet:
 
     @staticmethod
     def _measured(stored: DataFrame) -> SliceSet:
-        first, last = stored.agg(F.min("fecha"), F.max("fecha")).first()
-        return SliceSet(stored, None, (first, last) if first else None)
+        """What the scans may know: one row, with one entry for each calendar day that occurs."""
+        row = stored.agg(
+            F.collect_set("fecha").alias("days"),
+            *(f(c).alias(f"{f.__name__}_{c}") for c in ("empresa", "estado") for f in (F.min, F.max)),
+        ).first()
+        ranges = cover(row.days)
+        span = (ranges[0][0], ranges[-1][1]) if ranges else None
+        empresa = row.min_empresa if row.min_empresa == row.max_empresa else None
+        estado = row.min_estado if row.min_estado == row.max_estado else None
+        return SliceSet(stored, None, span, ranges, empresa, estado)
 
     def _keep(self, numbers: Iterable[int], condition: Column | None = None) -> SliceSet:
         """Some of the listed slices, with their numbers; ``condition`` says the same in a few words."""
@@ -160,7 +189,7 @@ class SliceSet:
         if self.listed is not None:
             numbers = (n for n, s in self.listed.items() if s.empresa == company)
             return self._keep(numbers, F.col("empresa") == company)
-        return SliceSet(self.df.filter(F.col("empresa") == company), None, self.span)
+        return replace(self, df=self.df.filter(F.col("empresa") == company), empresa=company)
 
     def last_of_companies(self) -> SliceSet:
         """The last slice of each company."""
@@ -199,22 +228,32 @@ class SliceSet:
         if first == last:
             inside = F.to_date(column) == F.lit(first)
         else:
-            inside = F.col(column) >= F.lit(first).cast("timestamp_ntz")
-            if last < date.max:  # no day follows the last one there is
-                until = F.lit(last + timedelta(days=1)).cast("timestamp_ntz")
-                inside = inside & (F.col(column) < until)
+            inside = self._in_range(column, first, last)
+        if len(self.ranges) > 1:
+            inside = inside & reduce(or_, (self._in_range(column, *r) for r in self.ranges))
         if day_column(column) in fact.columns:
-            inside = inside & F.col(day_column(column)).between(F.lit(first), F.lit(last))
+            day = F.col(day_column(column))
+            days = self.ranges or (self.span,)
+            inside = inside & reduce(or_, (day.between(F.lit(a), F.lit(b)) for a, b in days))
+        return inside
+
+    @staticmethod
+    def _in_range(column: str, first: date, last: date) -> Column:
+        inside = F.col(column) >= F.lit(first).cast("timestamp_ntz")
+        if last < date.max:  # no day follows the last one there is
+            until = F.lit(last + timedelta(days=1)).cast("timestamp_ntz")
+            inside = inside & (F.col(column) < until)
         return inside
 
     def in_companies(self, column: str) -> Column:
         if self.listed is None:
-            return F.col(column).isNotNull()
+            return F.col(column).isNotNull() if self.empresa is None else F.col(column) == self.empresa
         return F.col(column).isin(sorted({s.empresa for s in self.listed.values()}))
 
     def in_states(self, column: str, ctx: RunContext) -> Column:
         if self.listed is None:
-            return F.col(column).isNotNull()
+            known = self.estado is not None
+            return ctx.text(F.col(column)) == self.estado if known else F.col(column).isNotNull()
         states = sorted({s.estado for s in self.listed.values()})
         if not states:
             return F.lit(False)

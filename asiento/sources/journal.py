@@ -2,12 +2,14 @@
 
 A run rewrites only the partitions it touches. Their new contents are first written in
 full to the shared folder; only then are the partitions replaced, all in one job. Should
-that job be lost, ``publish`` can be run again on the same contents.
+that job be lost, ``publish`` can be run again on the same contents. Once they are published,
+what was staged is removed.
 """
 
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +27,7 @@ from asiento.plans.posting import lasting_invoices, lasting_payments, replay_sli
 from asiento.plans.rules import REPLAY_COMPANY
 from asiento.slices import SliceSet
 from asiento.sources.schemas import JOURNAL
-from asiento.sources.shared import new_path, write_shared
+from asiento.sources.shared import drop, exists, mark, new_path, write_shared
 from asiento.sources.tables import Tables
 
 log = logging.getLogger(__name__)
@@ -34,6 +36,9 @@ INVOICES, OTHERS = "invoice", "other"
 PARTITION = ("doc_class", "in_cod_empresa")
 NO_COMPANY = "__HIVE_DEFAULT_PARTITION__"
 
+# The new rows of some companies; intermediate tables go to the folder given.
+Stage = Callable[[str], tuple[DataFrame, list[int | None]]]
+
 
 class JournalTable:
     def __init__(self, spark: SparkSession, path: str, sink_decimal: tuple[int, int] | None = None):
@@ -75,22 +80,36 @@ class JournalTable:
 
     # -- runs -------------------------------------------------------------------------
 
-    def run_invoices(self, tables: Tables, slices: SliceSet, ctx: RunContext) -> None:
-        """Post the invoices of ``slices`` in order."""
-        companies = [row.empresa for row in slices.companies().collect()]
-        old = self._touched(INVOICES, companies)
-        rows = lasting_invoices(tables, slices, ctx)
-        self._replace(apply_invoice_runs(old, rows, slices), INVOICES, companies)
+    def run_invoices(
+        self, tables: Tables, slices: SliceSet, ctx: RunContext, once: str | None = None
+    ) -> None:
+        """Post the invoices of ``slices`` in order; ``once`` as for ``run``."""
+
+        def stage(_folder: str) -> tuple[DataFrame, list[int | None]]:
+            companies = [row.empresa for row in slices.companies().collect()]
+            # All old invoice rows of these companies go: they need not be read.
+            nothing = self.spark.createDataFrame([], self.schema)
+            rows = lasting_invoices(tables, slices, ctx)
+            return apply_invoice_runs(nothing, rows, slices), companies
 
-    def run_payments(self, tables: Tables, slices: SliceSet, ctx: RunContext) -> None:
-        """Post the payments of ``slices`` in order.
+        self._replace(INVOICES, stage, once)
+
+    def run_payments(
+        self, tables: Tables, slices: SliceSet, ctx: RunContext, once: str | None = None
+    ) -> None:
+        """Post the payments of ``slices`` in order; ``once`` as for ``run``.
 
         Besides the slices' companies this touches those of stray payment lines, of the
         second system and of purged documents: one row per company reaches the driver.
         """
         ctx = replace(ctx, sink_decimal=self.sink_decimal)
-        rows = write_shared(lasting_payments(tables, slices, ctx), "payment-rows")
-        purged = write_shared(purged_payments(tables.payment, slices), "purged-payments")
+        self._replace(OTHERS, lambda folder: self._payments(tables, slices, ctx, folder), once)
+
+    def _payments(
+        self, tables: Tables, slices: SliceSet, ctx: RunContext, folder: str
+    ) -> tuple[DataFrame, list[int | None]]:
+        rows = write_shared(lasting_payments(tables, slices, ctx), "rows", f"{folder}/posted")
+        purged = write_shared(purged_payments(tables.payment, slices), "purged", f"{folder}/purged")
         others = self._partitions().filter(F.col("doc_class") == OTHERS)
         hit = others.join(purged, F.col("in_num_documento") == F.col("purged"), "left_semi")
         found = (
@@ -102,12 +121,19 @@ class JournalTable:
         )
         companies = [row.company for row in found.collect()]
         old = self._touched(OTHERS, companies)
-        self._replace(apply_payment_runs(old, rows, slices, purged), OTHERS, companies)
+        return apply_payment_runs(old, rows, slices, purged), companies
 
-    def run(self, tables: Tables, slices: SliceSet, ctx: RunContext) -> None:
-        """Post the invoices, then the payments, of ``slices``."""
-        self.run_invoices(tables, slices, ctx)
-        self.run_payments(tables, slices, ctx)
+    def run(
+        self, tables: Tables, slices: SliceSet, ctx: RunContext, once: str | None = None
+    ) -> None:
+        """Post the invoices, then the payments, of ``slices``.
+
+        ``once`` names a shared folder of this run's own. A run that is repeated with the same
+        folder does what is left to do: it publishes what was staged, computes only what
+        was not, and changes nothing if all was published.
+        """
+        self.run_invoices(tables, slices, ctx, once)
+        self.run_payments(tables, slices, ctx, once)
 
     def replay(
         self,
@@ -133,11 +159,26 @@ class JournalTable:
             .select(*JOURNAL.names)
         )
 
-    def _replace(self, state: DataFrame, doc_class: str, companies: list[int | None]) -> None:
-        path = new_path(self.spark, "journal")
-        staged = write_shared(self._classified(state), "journal", path)
-        log.info("staged %s rows of companies %s in %s", doc_class, companies, path)
-        self.publish(staged, doc_class, companies)
+    def _replace(self, doc_class: str, stage: Stage, once: str | None) -> None:
+        folder = f"{once}/{doc_class}" if once else new_path(self.spark, "journal")
+        published = f"{folder}-published"
+        if exists(self.spark, published):
+            return
+        # The writer leaves this file when all rows are written.
+        if not exists(self.spark, f"{folder}/rows/_SUCCESS"):
+            drop(self.spark, folder)
+            state, companies = stage(folder)
+            listed = self.spark.createDataFrame([(c,) for c in companies], "company bigint")
+            write_shared(listed, "companies", f"{folder}/companies")
+            write_shared(self._classified(state), "journal", f"{folder}/rows")
+            log.info("staged %s rows of companies %s in %s", doc_class, companies, folder)
+        stored = T.StructType([*self.schema, T.StructField("doc_class", T.StringType())])
+        staged = self.spark.read.schema(stored).parquet(f"{folder}/rows")
+        listed = self.spark.read.schema("company bigint").parquet(f"{folder}/companies")
+        self.publish(staged, doc_class, [row.company for row in listed.collect()])
+        if once:
+            mark(self.spark, published)
+        drop(self.spark, folder)
 
     def publish(self, staged: DataFrame, doc_class: str, companies: list[int | None]) -> None:
         """Replace the partitions of ``companies`` by the rows of ``staged``.

@@ -27,6 +27,29 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    at, files = _file_system(spark, path)
+    return files.exists(at)
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Leave a sign that ``exists`` finds."""
+    at, files = _file_system(spark, path)
+    if not files.mkdirs(at):
+        raise OSError(f"cannot create {path}")
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table, if it is there."""
+    at, files = _file_system(spark, path)
+    files.delete(at, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def write_shared(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once and return the written table.
 

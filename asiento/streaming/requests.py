@@ -37,15 +37,15 @@ def post_requests(
 ) -> StreamingQuery:
     """Run invoices and payments for every request that arrives on the stream.
 
-    A micro-batch that is repeated after a failure replaces the rows it posted before. The
-    exceptions are those of any repeated run: second-system rows booked by slices of
-    another company, and payment lines that carry another company, are appended again.
+    A micro-batch that is repeated after a failure is posted once: what it published stays,
+    what it staged is published, and only the rest is computed. The notes about it lie in
+    the stream's checkpoint.
     """
 
-    def post(batch: DataFrame, _batch_id: int) -> None:
+    def post(batch: DataFrame, batch_id: int) -> None:
         slices = request_slices(batch)
         if slices.span is not None:
-            journal.run(tables, slices, ctx)
+            journal.run(tables, slices, ctx, once=f"{checkpoint}/posted/{batch_id}")
 
     return (
         requests.writeStream.foreachBatch(post)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from asiento.context import RunContext
 from asiento.operators import reversals, seeds, state
@@ -18,6 +19,8 @@ from asiento.operators.payments import payment_rows
 from asiento.plans import posting
 from asiento.plans.rules import INVOICE_BRANCHES, PAYMENT_BRANCHES
 from asiento.slices import ROW_COLUMNS, SliceSet
+from asiento.sources.journal import JournalTable
+from asiento.sources.shared import new_path
 from catalogue import fixtures, oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -191,9 +194,9 @@ def pay_post_backfill(spark, sf_dir):
 )
 def snk_01_replace_invoices(spark, sf_dir):
     tables = fixtures.tables(spark, sf_dir, fixtures.INVOICE_TABLES)
-    rows = post_invoices(tables, SliceSet.of(spark, [INVOICE_SLICE]), CTX)
-    cleared = state.clear_invoices(fixtures.initial_journal(spark, sf_dir), INVOICE_SLICE[1])
-    return state.append_rows(cleared, rows)
+    slices = SliceSet.of(spark, [INVOICE_SLICE])
+    rows = post_invoices(tables, slices, CTX)
+    return state.apply_invoice_runs(fixtures.initial_journal(spark, sf_dir), rows, slices)
 
 
 @register(
@@ -208,9 +211,10 @@ def snk_01_replace_invoices(spark, sf_dir):
 )
 def snk_02_replace_payments(spark, sf_dir):
     tables = fixtures.tables(spark, sf_dir, fixtures.PAYMENT_TABLES)
-    rows = payment_rows(tables, SliceSet.of(spark, [PAYMENT_SLICE]), CTX)
-    cleared = state.clear_payments(fixtures.initial_journal(spark, sf_dir), PAYMENT_SLICE[1])
-    return state.append_rows(cleared, rows)
+    slices = SliceSet.of(spark, [PAYMENT_SLICE])
+    journal = fixtures.initial_journal(spark, sf_dir)
+    cleared = state.clear_companies(journal, slices, state.is_other())
+    return state.append_rows(cleared, payment_rows(tables, slices, CTX))
 
 
 @register(
@@ -225,7 +229,7 @@ def snk_02_replace_payments(spark, sf_dir):
 def snk_03_purge_type5(spark, sf_dir):
     tables = fixtures.tables(spark, sf_dir, ["payment"])
     purged = state.purged_payments(tables.payment, SliceSet.of(spark, [PAYMENT_SLICE]))
-    return state.purge_documents(fixtures.initial_journal(spark, sf_dir), purged)
+    return state.purge_documents(fixtures.initial_journal(spark, sf_dir), purged, F.lit(True))
 
 
 @register(
@@ -237,7 +241,7 @@ def snk_03_purge_type5(spark, sf_dir):
     ),
 )
 def snk_04_purge_zero(spark, sf_dir):
-    return state.purge_zeros(fixtures.initial_journal(spark, sf_dir), 1)
+    return state.purge_zeros(fixtures.initial_journal(spark, sf_dir), F.lit(1))
 
 
 def _payment_state(before: str) -> dict[str, str]:
@@ -396,6 +400,55 @@ def rvs_6_final_state(spark, sf_dir):
     return posting.final_state(journal, tables, slices, CTX)
 
 
+@register(
+    "rvs_6_final_state_all_calls",
+    oracle.statement(
+        "SELECT * EXCLUDE (slice_id, slice_empresa) FROM payment_state",
+        oracle.REPLAY,
+        oracle.calls(oracle.REVERSAL_CALLS)
+        | _payment_state("(SELECT * EXCLUDE (slice_id) FROM invoice_state)"),
+    ),
+)
+def rvs_6_final_state_all_calls(spark, sf_dir):
+    """The journal after the replays of every reversal date and company, in order."""
+    tables = fixtures.tables(spark, sf_dir)
+    slices = posting.replay_slices(tables, reversal_calendar(spark), CTX)[1]
+    return posting.final_state(fixtures.initial_journal(spark, sf_dir), tables, slices, CTX)
+
+
+def _stored_journal(spark: SparkSession, sf_dir: str) -> JournalTable:
+    """The initial journal on files in the shared folder."""
+    table = JournalTable(spark, new_path(spark, "catalogue-journal"))
+    table.create(fixtures.initial_journal(spark, sf_dir))
+    return table
+
+
+@register("snk_journal_invoices", ORACLE["snk_invoices_state"])
+def snk_journal_invoices(spark, sf_dir):
+    """The journal on files after 498 invoice runs."""
+    table = _stored_journal(spark, sf_dir)
+    tables = fixtures.tables(spark, sf_dir, fixtures.INVOICE_TABLES)
+    table.run_invoices(tables, invoice_calendar(spark), CTX)
+    return table.read()
+
+
+@register("snk_journal_payments", ORACLE["snk_payments_state"])
+def snk_journal_payments(spark, sf_dir):
+    """The journal on files after 180 payment runs."""
+    table = _stored_journal(spark, sf_dir)
+    tables = fixtures.tables(spark, sf_dir, fixtures.PAYMENT_TABLES)
+    table.run_payments(tables, payment_calendar(spark), CTX)
+    return table.read()
+
+
+@register("snk_journal_replay", ORACLE["rvs_6_final_state"])
+def snk_journal_replay(spark, sf_dir):
+    """The journal on files after a whole replay."""
+    table = _stored_journal(spark, sf_dir)
+    table.replay(fixtures.tables(spark, sf_dir), one_call(spark), CTX)
+    return table.read()
+
+
 # -- seeds and look-up --------------------------------------------------------------
 
 

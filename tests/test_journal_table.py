@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from conftest import rows
+from pyspark.errors import StreamingQueryException
 
 from asiento.operators.reversals import reversal_calls
 from asiento.operators.state import append_rows
@@ -13,6 +15,7 @@ from asiento.plans import posting
 from asiento.slices import SliceSet
 from asiento.sources.schemas import JOURNAL
 from asiento.sources.journal import JournalTable
+from asiento.sources.shared import shared_folder
 from asiento.streaming.requests import post_requests
 from catalogue import fixtures
 
@@ -118,6 +121,49 @@ def test_an_interrupted_publication_can_be_finished(
         same(table.read(), posting.payments_state(initial, tables, slices, ctx))
 
 
+def test_nothing_staged_is_left(spark, tables, initial, ctx, tmp_path):
+    table = JournalTable(spark, str(tmp_path / "journal"))
+    table.create(initial)
+    before = set(Path(shared_folder(spark)).glob("journal-*"))
+    table.run(tables, SliceSet.of(spark, [("2024-01-05", 3, "G")]), ctx)
+    assert set(Path(shared_folder(spark)).glob("journal-*")) == before
+
+
+@pytest.mark.parametrize("lost", ["before", "after"])
+def test_a_repeated_batch_is_posted_once(spark, tables, initial, ctx, tmp_path, monkeypatch, lost):
+    """Company 2 posts forms of the second system as company 1: a second run would add them again."""
+    table = JournalTable(spark, str(tmp_path / "journal"))
+    table.create(initial)
+    schema = "pedido bigint, fecha string, empresa int, estado string"
+    given = [("2024-01-05", 2, "G")]
+    asked = spark.createDataFrame([(1, *given[0])], schema)
+    asked.coalesce(1).write.json(str(tmp_path / "requests"))
+    publish = table.publish
+
+    def failing(rows, doc_class, companies):
+        if lost == "after":
+            publish(rows, doc_class, companies)
+        if doc_class == "other":
+            raise InterruptedError
+        if lost == "before":
+            publish(rows, doc_class, companies)
+
+    def start():
+        arriving = spark.readStream.schema(schema).json(str(tmp_path / "requests"))
+        post_requests(arriving, table, tables, ctx, str(tmp_path / "checkpoint")).awaitTermination()
+
+    monkeypatch.setattr(table, "publish", failing)
+    with pytest.raises(StreamingQueryException):
+        start()
+    monkeypatch.undo()
+    start()
+    expected = posting.final_state(initial, tables, SliceSet.of(spark, given), ctx)
+    same(table.read(), expected)
+    folder = str(tmp_path / "checkpoint/posted/0")
+    table.run(tables, SliceSet.of(spark, given), ctx, once=folder)
+    same(table.read(), expected)
+
+
 def test_a_replay_on_files_equals_the_final_state(spark, tables, initial, ctx, tmp_path):
     table = JournalTable(spark, str(tmp_path / "journal"))
     table.create(initial)

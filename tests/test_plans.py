@@ -9,7 +9,6 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
 from asiento.operators.invoices import invoice_rows, post_invoices
 from asiento.operators.payments import payment_rows
 from asiento.operators.reversals import reversal_calls, reversed_documents
@@ -19,7 +18,7 @@ from asiento.slices import ROW_COLUMNS, SliceSet
 from asiento.sources.facts import write_by_day
 from asiento.sources.tables import Tables
 from catalogue import fixtures
-from catalogue.queries import invoice_calendar, payment_calendar
+from catalogue.queries import QUERIES, invoice_calendar, one_call, payment_calendar
 
 
 @pytest.fixture(scope="module")
@@ -88,6 +87,18 @@ def test_slices_reach_the_scan(spark, stored, ctx, many):
     assert "de_total" not in schema and "de_itbis" in schema
 
 
+def test_a_replay_pushes_its_constants_and_days(spark, stored, ctx):
+    found = posting.replay_reversals(stored, one_call(spark), ctx)
+    assert found.slices.empresa == 1 and found.slices.estado == "R"
+    assert len(found.slices.ranges) > 1
+    text = plan(found.journal_by_slice)
+    for table, state in (("invoice_line", "de"), ("payment_form", "fp")):
+        for pushed in re.findall(rf"/{table}\].*?PushedFilters: (.*?)\n", text, re.S):
+            assert f"EqualTo({state}_estado,R)" in pushed
+            assert f"EqualTo({state}_cod_empresa,1)" in pushed
+            assert "Or(And(GreaterThanOrEqual" in pushed or "Or(Or(" in pushed
+
+
 def test_zero_amounts_are_dropped_at_the_scan(spark, stored, ctx):
     text = plan(post_invoices(stored, invoice_calendar(spark), ctx, ["insurer_receivable"]))
     pushed = re.search(r"/invoice_line\].*?PushedFilters: (.*?)\n", text, re.S).group(1)
@@ -99,9 +110,9 @@ def test_one_slice_needs_no_join_with_slices(spark, stored, ctx):
     assert len(re.findall(r"Join", plan(df, "simple"))) == 1
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_no_cross_joins(spark, sf_dir, name):
-    df = entry_points.queries()[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     for options in ({}, NO_BROADCAST):
         with settings(spark, **options):
             text = plan(df.select("*"), "simple")

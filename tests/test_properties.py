@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+import steps
 from pyspark.sql import functions as F
 
 from asiento.operators import state
@@ -79,13 +80,13 @@ def test_final_state_equals_one_run_after_the_other(spark, sf_dir, tables, ctx,
     for one in order:
         slices, company = SliceSet.of(spark, [one]), one[1]
         step = state.append_rows(
-            state.clear_invoices(step, company), post_invoices(tables, slices, ctx)
+            steps.clear_invoices(step, company), post_invoices(tables, slices, ctx)
         )
         step = state.append_rows(
-            state.clear_payments(step, company), payment_rows(tables, slices, ctx)
+            steps.clear_payments(step, company), payment_rows(tables, slices, ctx)
         )
-        step = state.purge_documents(step, state.purged_payments(tables.payment, slices))
-        step = state.purge_zeros(step, company).checkpoint()
+        step = steps.purge_documents(step, state.purged_payments(tables.payment, slices))
+        step = steps.purge_zeros(step, company).checkpoint()
     listed = SliceSet.of(spark, order)
     same(posting.final_state(journal, tables, listed, ctx), step)
     same(posting.final_state(journal, tables, SliceSet.from_frame(listed.df), ctx), step)

@@ -10,7 +10,7 @@ from conftest import ts
 from pyspark.sql import functions as F
 
 from asiento.context import RunContext
-from asiento.slices import Slice, SliceSet
+from asiento.slices import RANGES, Slice, SliceSet, cover
 
 COLUMNS = "slice_id long, fecha date, empresa int, estado string"
 
@@ -47,3 +47,13 @@ def test_the_last_date_there_is(spark, billing):
     slices = SliceSet.of(spark, [Slice(date(2024, 1, 5), 1, "G"), Slice(date.max, 1, "G")])
     found = slices.select_from(tables.invoice_line, RunContext(), "de_fecha", "de_cod_empresa", "de_estado")
     assert [r.slice_id for r in found.orderBy(F.col("slice_id")).collect()] == [1, 2]
+
+
+def test_ranges_cover_every_day():
+    days = [date(2024, 1, 1) + timedelta(days=n * n) for n in range(60)]
+    ranges = cover(days[::-1])
+    assert len(ranges) == RANGES
+    assert all(any(a <= day <= b for a, b in ranges) for day in days)
+    assert ranges[-1][0] == ranges[-1][1] == days[-1]
+    assert cover([]) == ()
+    assert cover([date.max]) == ((date.max, date.max),)

@@ -6,6 +6,7 @@ from dataclasses import replace
 from datetime import date
 
 import pytest
+import steps
 from conftest import rows, ts
 from pyspark.sql import functions as F
 
@@ -189,8 +190,8 @@ def test_replace_clears_every_date_and_state_of_the_company(spark, billing, one,
     assert rows(after, "in_num_documento") == [(2,), (3,), (4,), (5,)]
     after = posting.payments_state(old, tables, one, ctx)
     assert rows(after, "in_num_documento") == [(1,), (2,), (4,), (5,)]
-    assert rows(state.clear_invoices(old, 1), "in_num_documento") == [(2,), (3,), (4,), (5,)]
-    assert rows(state.clear_payments(old, 1), "in_num_documento") == [(1,), (2,), (4,), (5,)]
+    assert rows(steps.clear_invoices(old, 1), "in_num_documento") == [(2,), (3,), (4,), (5,)]
+    assert rows(steps.clear_payments(old, 1), "in_num_documento") == [(1,), (2,), (4,), (5,)]
 
 
 def test_zero_purge_keeps_null_invoices_and_other_companies(spark):
@@ -202,7 +203,8 @@ def test_zero_purge_keeps_null_invoices_and_other_companies(spark):
         dict(in_num_documento=4, in_tipo_documento=0, in_cod_empresa=2, in_valor=0.0),
         dict(in_num_documento=5, in_tipo_documento=None, in_cod_empresa=1, in_valor=0.0),
     )
-    assert rows(state.purge_zeros(old, 1), "in_num_documento") == [(2,), (3,), (4,), (5,)]
+    assert rows(steps.purge_zeros(old, 1), "in_num_documento") == [(2,), (3,), (4,), (5,)]
+    assert rows(state.purge_zeros(old, F.lit(1)), "in_num_documento") == [(2,), (3,), (4,), (5,)]
 
 
 def test_payment_lines_of_another_company_stay_behind(spark, billing, one, ctx):
