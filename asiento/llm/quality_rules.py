@@ -46,12 +46,18 @@ class Bands:
     """Limits by length, longest band first.
 
     Short texts carry the compressor's fixed cost, so below 128 bytes nothing is rejected.
+    The upper limits lie above the beginnings of a band's least length of texts in English, French,
+    German and Spanish, and below random words of the band's greatest length where the two do not overlap: of
+    base64 from 256 bytes, of letters and digits from 1024, of letters from 1536, of hex digits
+    from 3072. Below these lengths such words shrink as much as language does.
     A text is rejected if the whole is outside its band, or if more than ``chunk_share`` of
     its chunks are outside the band of their own length.
     """
 
     whole: tuple[Band, ...] = (
-        Band(4096, 0.22, 0.80), Band(2048, 0.25, 0.85), Band(512, 0.32, 0.90), Band(128, 0.36, 1.25),
+        Band(8192, 0.22, 0.49), Band(4096, 0.22, 0.51), Band(3072, 0.25, 0.515), Band(2048, 0.25, 0.565),
+        Band(1536, 0.32, 0.575), Band(1024, 0.32, 0.61), Band(768, 0.32, 0.66), Band(512, 0.32, 0.74),
+        Band(384, 0.36, 0.775), Band(256, 0.36, 0.815), Band(192, 0.36, 0.895), Band(128, 0.36, 1.01),
     )
     chunk_bytes: int = 4096
     chunk_share: float = 0.5

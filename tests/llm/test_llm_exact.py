@@ -170,6 +170,31 @@ def test_quality_counts_and_bands(spark, sf_dir, texts):
     assert found[4].kept == (bands.judge(len(turns), found[4].whole_ratio) == 0 and found[4].n_low_chunks * 2 <= found[4].n_chunks)
 
 
+# From how many bytes on words of these letters shrink less than language, for each length of words.
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+RANDOM_WORDS = [
+    ("0123456789abcdef", 3072), (LETTERS, 1536), (LETTERS + "0123456789", 1024), (LETTERS + LETTERS.upper() + "0123456789+/", 256),
+]
+
+
+def test_random_words_are_rejected_and_prose_stays(spark, texts):
+    rng, bands = random.Random(3), quality_rules.Bands()
+    edges = sorted(b.min_bytes for b in bands.whole) + [16000, 40000]
+    rows = []
+    for letters, least in RANDOM_WORDS:
+        for length in (4, 8, 60):
+            for n in {e - 1 for e in edges if e > least} | {e for e in edges if e >= least}:
+                words = ["".join(rng.choice(letters) for _ in range(length)) for _ in range(n // length + 1)]
+                rows.append((len(rows), " ".join(words)[:n]))
+    found = quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == len(rows) and not any(r.kept for r in found)
+    compress = quality_rules.zstandard.ZstdCompressor(level=bands.level, write_content_size=False).compress
+    for text in texts.values():
+        whole = text.encode()
+        for data in [whole, *(whole[:e] for e in edges if e <= len(whole))]:
+            assert bands.judge(len(data), len(compress(data)) / len(data)) <= 0
+
+
 # -- exact repeats
 
 
