@@ -1,13 +1,15 @@
 """License scans by sentence rules.
 
-Texts are cut into sentences, sentences are brought to a plain form (lower-case A-Z, runs of anything but
-letters and digits as one blank), and known ones are mapped to identifiers. A rule is an
-ordered list of identifiers; it is met where a text's consecutive sentences have these
-identifiers in this order.
+Texts are cut into pieces at line feeds and after the ends of sentences; pieces are brought to a plain
+form (lower-case A-Z, runs of anything but letters and digits as one blank). Known sentences are
+cut and made plain in the same way. A sentence is found where consecutive pieces together give its
+words, so that it may be wrapped over lines at any blank; it begins and ends with a piece. A
+rule is an ordered list of sentences; it is met where they follow each other with nothing between.
+Numbers and bullets of lists are left out if the line before ended a sentence or was empty.
 
-Sentences and rules are fixed lists, so both are small whatever the corpus. Only known sentences
-leave the pass over the texts; a rule is met at a place if all its sentences agree on where it
-begins, which is one count by place.
+Sentences and rules are fixed lists, so both are small whatever the corpus. Everything is a
+function of one text: one pass, no shuffle. The words of each rule are looked for first; only
+where a text has them are the places counted.
 
 Defined results: NULL and empty texts meet no rule; a text can meet several rules, or one in
 several places; a rule whose sentences are part of a longer rule that is met at the same place is still
@@ -19,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from asiento.llm.tables import fold_ascii, row_key
+from asiento.llm.tables import fold_ascii
 
 # -- fixed values: the wording of well-known public licences, and the order of their sentences
 
@@ -63,43 +65,50 @@ RULES = {
     "All-rights-reserved": [["rights"]],
 }
 
-#: A sentence ends at a line feed, or after one of .!?: before white space.
-SENTENCE_END = r"\n|(?<=[.!?:])[ \t]+"
+#: A piece ends at a line feed, or after one of .!?: before white space.
+PIECE_END = r"\n|(?<=[.!?:])[ \t]+"
 PLAIN = r"[^0-9a-z\x80-\x{10FFFF}]+"
+#: A number, letter or bullet at the head of a line, where the line before can't go on.
+LIST_MARK = (
+    r"(\A|[.!?:;][^0-9A-Za-z\x80-\x{10FFFF}]*?\n|\n[^0-9A-Za-z\x80-\x{10FFFF}\n]*\n)[^0-9A-Za-z\x80-\x{10FFFF}\n]*"
+    r"(?:[•‣◦▪·–—]|(?:[0-9]{1,3}|[A-Za-z]|[ivxIVX]{2,4})[.)])[ \t]+"
+)
 
 
-def plain(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(fold_ascii(sentence), PLAIN, " "))
+def plain(piece: Column) -> Column:
+    return F.trim(F.regexp_replace(fold_ascii(piece), PLAIN, " "))
 
 
-def rule_table(spark: SparkSession, sentences: dict[str, str], rules: dict[str, list[list[str]]]) -> DataFrame:
-    """``sentence, licence, variant, place, size``: a row for each sentence of each rule."""
-    rows = [
-        (sentences[name], licence, variant, place, len(names))
-        for licence, variants in rules.items()
-        for variant, names in enumerate(variants)
-        for place, name in enumerate(names)
-    ]
-    schema = "sentence string, licence string, variant int, place int, size int"
-    return spark.createDataFrame(rows, schema).withColumn("sentence", plain(F.col("sentence")))
+def pieces(text: Column) -> Column:
+    """The pieces of a text in order, in plain form, without empty ones."""
+    text = F.replace(text, F.lit("https://"), F.lit("http://"))
+    text = F.regexp_replace(text, LIST_MARK, "$1")
+    return F.filter(F.transform(F.split(text, PIECE_END), plain), lambda s: s != "")
+
+
+def wordings(spark: SparkSession, sentences: dict[str, str]) -> dict[str, str]:
+    """The plain words of each sentence of the fixed list."""
+    rows = spark.createDataFrame([*sentences.items()], "name string, sentence string")
+    return {r.name: r.words for r in rows.select("name", F.array_join(pieces(F.col("sentence")), " ").alias("words")).collect()}
 
 
 def licences(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules: dict[str, list[list[str]]] = RULES) -> DataFrame:
     """``doc_id, licences`` (sorted, distinct) and ``n_matches`` for each row of ``docs``."""
-    text = F.col("text").cast("string")
-    keyed = docs.select("doc_id", row_key(text).alias("row_key"), text.alias("text"))
-    cut = keyed.where("text IS NOT NULL").select("doc_id", "row_key", F.posexplode(F.filter(
-        F.transform(F.split("text", SENTENCE_END), plain), lambda s: s != "")).alias("no", "sentence"))
-    table = rule_table(docs.sparkSession, sentences, rules)
-    known = cut.join(F.broadcast(table), "sentence")  # the table is the fixed list above
-    begins = known.select("doc_id", "row_key", "licence", "variant", "size", "no", (F.col("no") - F.col("place")).alias("start")).distinct()
-    places = begins.groupBy("doc_id", "row_key", "licence", "variant", "size", "start").agg(F.count("*").alias("n"))
-    met = places.where("n = size AND start >= 0")
-    found = met.groupBy("doc_id", "row_key").agg(F.array_sort(F.collect_set("licence")).alias("licences"), F.count("*").alias("n_matches"))
-    other = found.withColumnsRenamed({"doc_id": "id", "row_key": "key"})
-    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("row_key") == F.col("key"))
-    return keyed.select("doc_id", "row_key").join(other, same, "left").select(
+    words = wordings(docs.sparkSession, sentences)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    cut = docs.select("doc_id", F.concat(F.lit("\n"), F.array_join(pieces(text), "\n"), F.lit("\n")).alias("cut"))
+    cut = cut.withColumn("flat", F.translate("cut", "\n", " "))
+    counts = []
+    for licence, variants in rules.items():
+        for names in variants:
+            held = F.contains("flat", F.lit(f" {' '.join(words[n] for n in names)} "))
+            # Between words a piece may end; between sentences one must.
+            place = "\n(?=" + "\n".join(words[n].replace(" ", "[ \n]") for n in names) + "\n)"
+            n = F.when(held, F.regexp_count("cut", F.lit(place))).otherwise(0)
+            counts.append(F.struct(F.lit(licence).alias("licence"), n.cast("bigint").alias("n")))
+    met = cut.select("doc_id", F.filter(F.array(*counts), lambda c: c["n"] > 0).alias("met"))
+    return met.select(
         "doc_id",
-        F.coalesce("licences", F.array().cast("array<string>")).alias("licences"),
-        F.coalesce("n_matches", F.lit(0)).cast("bigint").alias("n_matches"),
+        F.array_sort(F.array_distinct(F.col("met.licence"))).alias("licences"),
+        F.aggregate("met.n", F.lit(0).cast("bigint"), lambda a, n: a + n).alias("n_matches"),
     )

@@ -134,6 +134,92 @@ def test_rules_need_all_sentences_in_order(spark):
     assert found == {1: (["BSD-2-Clause"], 1), 2: ([], 0), 3: (["BSD-2-Clause"], 1), 4: ([], 0), 5: (["MIT"], 2)}
 
 
+HEAD = "Some Package\nCopyright (c) 2020 A. Author\n\n"
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE FOR ANY CLAIM."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE."""
+BSD2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+UNLICENSE = "This is free and unencumbered software released into the public\ndomain."
+STANDARD = {
+    "MIT": (MIT, ["MIT"]), "ISC": (ISC, ["ISC"]), "BSD2": (BSD2, ["BSD-2-Clause"]), "BSD3": (BSD3, ["BSD-2-Clause", "BSD-3-Clause"]),
+    "APACHE": (APACHE, ["Apache-2.0"]), "GPL": (GPL, ["GPL-3.0"]), "MPL": (MPL, ["MPL-2.0"]), "UNLICENSE": (UNLICENSE, ["Unlicense"]),
+    "bullets": (BSD2.replace("1.", "\u2022").replace("2.", "*"), ["BSD-2-Clause"]), "letters": (BSD2.replace("1.", "(a)").replace("2.", "(b)"), ["BSD-2-Clause"]),
+    "notice": ("Licensed under the Apache\nLicense, Version 2.0.\nThis work is licensed under the GNU General Public License, version\n3. More.", ["Apache-2.0", "GPL-3.0"]),
+    "others": ("Licensed under\nCC BY 4.0.\nLicensed under CC\nBY-NC 4.0. All rights\nreserved.", ["All-rights-reserved", "CC-BY-4.0", "CC-BY-NC-4.0"]),
+}
+
+
+def test_standard_wrapped_licences_are_found(spark):
+    wrapped = {
+        (name, form): change(HEAD + text)
+        for name, (text, _) in STANDARD.items()
+        for form, change in {
+            "plain": str, "comment": lambda t: "".join(f" * {x}\n" for x in t.split("\n")), "hash": lambda t: "".join(f"# {x}\n" for x in t.split("\n")),
+            "crlf": lambda t: t.replace("\n", "\r\n"), "one line": lambda t: t if "\u2022" in t else "\n".join(" ".join(x.split()) for x in t.split("\n\n")),
+        }.items()
+    }
+    rows = [(f"{name} {form}", text) for (name, form), text in wrapped.items()]
+    found = {r.doc_id: (r.licences, r.n_matches) for r in licences(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert found == {f"{name} {form}": (STANDARD[name][1], len(STANDARD[name][1])) for name, form in wrapped}
+
+
+def test_pieces_of_a_rule_are_not_enough(spark):
+    broken = [MIT.replace("free of charge", "free\nof all charge"), "x " + UNLICENSE, UNLICENSE[:-1] + " at last", BSD2.replace("\n\n2.", "\nbetween\n\n2.")]
+    rows = [(n, text) for n, text in enumerate(broken)]
+    assert all(r.licences == [] and r.n_matches == 0 for r in licences(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+
+
 def test_ids_and_text_of_columns(docs):
     out = docs.select("text", encode(PATH, F.col("text")).alias("ids")).withColumn("again", decode(PATH, F.col("ids"), joined=False))
     for r in out.collect():
