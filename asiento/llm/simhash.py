@@ -204,23 +204,28 @@ def links(nodes: DataFrame, distance: int = 2, partitions: int = 3) -> DataFrame
     return tied.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).between(1, distance)).distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, partitions: int = 3) -> DataFrame:
-    """``doc_id, row_key, fp, component_id``, one row for each row of ``docs``."""
+def grouped(docs: DataFrame, shingle: int = 3, distance: int = 2, partitions: int = 3) -> DataFrame:
+    """``doc_id, row_key, fp, root, component_id``; ``root`` is the component's least fingerprint."""
     own = docs.select("doc_id", row_key(F.col("text")).alias("row_key"), fingerprint(F.col("text"), shingle).alias("fp"))
     own = write_shared(own, "fingerprints")
     nodes = write_shared(own.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
     found = components(links(nodes, distance, partitions)).toDF("fp", "root")
     rooted = nodes.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(ids, "root").select("fp", "component_id")
-    return own.join(named, "fp").select("doc_id", "row_key", "fp", "component_id")
+    named = rooted.join(ids, "root").select("fp", "root", "component_id")
+    return own.join(named, "fp").select("doc_id", "row_key", "fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, partitions: int = 3) -> DataFrame:
+    """``doc_id, row_key, fp, component_id``, one row for each row of ``docs``."""
+    return grouped(docs, shingle, distance, partitions).drop("root")
 
 
 def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 2, partitions: int = 3) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with the smallest id."""
-    groups = near_duplicates(docs, shingle, distance, partitions)
-    # Ids may repeat or be NULL; the key of the text decides between rows of one id.
-    least = groups.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("lone"))
+    # Ids may repeat or be NULL, so components are told apart by their root; the key of the text
+    # decides between rows of one id.
+    least = grouped(docs, shingle, distance, partitions).groupBy("root")
     first = least.agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")).alias("r"))
     stays = first.select(F.col("r.doc_id").alias("stay_id"), F.col("r.row_key").alias("stay_key")).distinct()
     held = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("stay_id"), row_key(F.col("text")).alias("stay_key"))

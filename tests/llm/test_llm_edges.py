@@ -15,7 +15,7 @@ from asiento.llm.line_dedup import Parameters as LineParameters
 from asiento.llm.line_dedup import drop_boilerplate, without_boilerplate
 from asiento.llm.lm_score import score_texts
 from asiento.llm.quality_rules import quality_rules
-from asiento.llm.simhash import near_duplicates, one_of_each
+from asiento.llm.simhash import fingerprint_of, near_duplicates, one_of_each
 from asiento.llm.suffix_dedup import remove_repeats
 from asiento.llm.token_counts import token_counts
 
@@ -109,6 +109,18 @@ def test_one_of_each_group_stays(docs):
     assert [r.doc_id for r in out if r.text == PLAIN] == [4]
 
 
+def test_groups_are_components_and_not_ids(spark, docs):
+    """Unlinked texts under one id stay; of linked texts without ids one stays."""
+    assert sorted(r.text for r in one_of_each(docs).collect() if r.doc_id == 4) == [PLAIN, "another text under an id that is taken"]
+    words = [f"w{n}" for n in range(3000)]
+    near = [" ".join(words[: n // 2] + [f"x{n}"] + words[n // 2 + 1 :]) for n in range(200, 240)]
+    prints = [fingerprint_of(t, 3) % 2**64 for t in near]
+    a, b = next((i, j) for i in range(40) for j in range(i) if 1 <= (prints[i] ^ prints[j]).bit_count() <= 2)
+    rows = [(None, near[a]), (None, near[b]), (None, PLAIN), (1, "yet one more text"), (1, "quite another text"), (1, near[a] + " far" * 2000)]
+    out = one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(out) == 5 and sum(r.text in (near[a], near[b]) for r in out) == 1
+
+
 def test_unknown_texts_are_rejected(docs):
     kept = keep_known(docs, fit(docs)).collect()
     assert all(any(c.isalpha() for c in r.text or "") for r in kept) and sum(r.text == PLAIN for r in kept) == 4
