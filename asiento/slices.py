@@ -9,8 +9,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
 from datetime import date, datetime, timedelta
-from functools import reduce
-from operator import or_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,9 +18,6 @@ from asiento.context import RunContext
 from asiento.sources.facts import day_column
 from asiento.sources.shared import write_shared
 
-# Date ranges that a scan compares with; joins decide exactly.
-RANGES = 32
-
 COLUMNS = ("slice_id", "fecha", "empresa", "estado")
 # What a journal row carries of its slice until it reaches the journal.
 ROW_COLUMNS = ("slice_id", "slice_fecha", "slice_empresa")
@@ -35,15 +30,9 @@ def as_date(value: date | datetime | str) -> date:
     return value.date() if isinstance(value, datetime) else value
 
 
-def cover(days: Iterable[date]) -> tuple[tuple[date, date], ...]:
-    """At most RANGES ranges that hold all ``days``: the widest gaps between days are left out."""
-    ordered = sorted(days)
-    if not ordered:
-        return ()
-    gaps = sorted(zip(ordered, ordered[1:]), key=lambda g: g[0] - g[1])
-    cuts = sorted(g for g in gaps[: RANGES - 1] if g[1] - g[0] > timedelta(days=1))
-    firsts, lasts = [ordered[0], *(b for _, b in cuts)], [*(a for a, _ in cuts), ordered[-1]]
-    return tuple(zip(firsts, lasts))
+def day_number(day: date) -> int:
+    """Days since 1970-01-01, as ``unix_date`` counts them."""
+    return day.toordinal() - date(1970, 1, 1).toordinal()
 
 
 @dataclass(frozen=True)
@@ -61,16 +50,14 @@ class SliceSet:
     """Slices in run order: ``slice_id`` is unique and sorts in the order of the runs.
 
     ``df`` holds the slices. ``listed`` repeats them on the driver, by ``slice_id``, when
-    the caller gave them as a list, so that their values reach the scans as literals;
-    ``span`` is the first and last date, known for both kinds. Of computed slices, ``ranges``
-    holds at most RANGES ranges of days that cover their dates, and ``empresa`` and ``estado``
-    the value that all of them share, if they do.
+    the caller gave them as a list, so that their values reach the scans as literals.
+    ``days`` are the calendar days of the slices in order, known for both kinds. Of computed
+    slices, ``empresa`` and ``estado`` hold the value that all of them share, if they do.
     """
 
     df: DataFrame
     listed: dict[int, Slice] | None = None
-    span: tuple[date, date] | None = None
-    ranges: tuple[tuple[date, date], ...] = ()
+    days: tuple[date, ...] = ()
     empresa: int | None = None
     estado: str | None = None
 
@@ -90,9 +77,8 @@ class SliceSet:
                 "estado": pa.array([s.estado for s in given], pa.string()),
             }
         )
-        dates = [s.fecha for s in given]
-        span = (min(dates), max(dates)) if dates else None
-        return SliceSet(spark.createDataFrame(rows), listed, span)
+        days = tuple(sorted({s.fecha for s in given}))
+        return SliceSet(spark.createDataFrame(rows), listed, days)
 
     @staticmethod
     def calendar(
@@ -160,20 +146,18 @@ class SliceSet:
             F.collect_set("fecha").alias("days"),
             *(f(c).alias(f"{f.__name__}_{c}") for c in ("empresa", "estado") for f in (F.min, F.max)),
         ).first()
-        ranges = cover(row.days)
-        span = (ranges[0][0], ranges[-1][1]) if ranges else None
         empresa = row.min_empresa if row.min_empresa == row.max_empresa else None
         estado = row.min_estado if row.min_estado == row.max_estado else None
-        return SliceSet(stored, None, span, ranges, empresa, estado)
+        return SliceSet(stored, None, tuple(sorted(row.days)), empresa, estado)
 
     def _keep(self, numbers: Iterable[int], condition: Column | None = None) -> SliceSet:
         """Some of the listed slices, with their numbers; ``condition`` says the same in a few words."""
         kept = {n: self.listed[n] for n in numbers}
         if len(kept) == len(self.listed):
             return self
-        dates = [s.fecha for s in kept.values()]
+        days = tuple(sorted({s.fecha for s in kept.values()}))
         df = self.df.filter(F.col("slice_id").isin(list(kept)) if condition is None else condition)
-        return SliceSet(df, kept, (min(dates), max(dates)) if dates else None)
+        return SliceSet(df, kept, days)
 
     # -- use --------------------------------------------------------------------
 
@@ -218,23 +202,23 @@ class SliceSet:
         return self.df.select("empresa").distinct()
 
     def on_dates(self, fact: DataFrame, column: str) -> Column:
-        """``column`` lies between the first and the last date: a range the scan can use.
+        """``column`` lies between the slices' first and last day: a range that scans can push.
 
-        A fact written by day is also limited to the partitions of those days.
+        Days left out in between are told by the join with the slices, one look-up a row;
+        a test for each of them here would make the generated code too long for the JVM to
+        compile. A fact written by day is also limited to the partitions of exactly these days,
+        which costs the driver one look-up a partition and no row anything.
         """
-        if self.span is None:
+        if not self.days:
             return F.lit(False)
-        first, last = self.span
-        if first == last:
-            inside = F.to_date(column) == F.lit(first)
+        if len(self.days) == 1:
+            inside = F.to_date(column) == F.lit(self.days[0])
         else:
-            inside = self._in_range(column, first, last)
-        if len(self.ranges) > 1:
-            inside = inside & reduce(or_, (self._in_range(column, *r) for r in self.ranges))
+            inside = self._in_range(column, self.days[0], self.days[-1])
         if day_column(column) in fact.columns:
-            day = F.col(day_column(column))
-            days = self.ranges or (self.span,)
-            inside = inside & reduce(or_, (day.between(F.lit(a), F.lit(b)) for a, b in days))
+            # As text, since thousands of literals are parsed faster than they are built one by one.
+            numbers = ", ".join(str(day_number(day)) for day in self.days)
+            inside = inside & F.expr(f"unix_date(`{day_column(column)}`) IN ({numbers})")
         return inside
 
     @staticmethod

@@ -44,7 +44,7 @@ def post_requests(
 
     def post(batch: DataFrame, batch_id: int) -> None:
         slices = request_slices(batch)
-        if slices.span is not None:
+        if slices.days:
             journal.run(tables, slices, ctx, once=f"{checkpoint}/posted/{batch_id}")
 
     return (

@@ -117,4 +117,4 @@ def test_only_lasting_slices_are_posted(spark):
         for company, first in ((1, 7), (2, 6), (3, 5), (4, 1)):
             numbers = slices.since_last_of(company).df.select("slice_id").collect()
             assert sorted(n for (n,) in numbers) == list(range(first, 8))
-    assert listed.last_of_companies().span == stored.last_of_companies().span
+    assert listed.last_of_companies().days == stored.last_of_companies().days

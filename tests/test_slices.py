@@ -10,7 +10,9 @@ from conftest import ts
 from pyspark.sql import functions as F
 
 from asiento.context import RunContext
-from asiento.slices import RANGES, Slice, SliceSet, cover
+from asiento.slices import Slice, SliceSet
+from asiento.sources.facts import write_by_day
+from catalogue import fixtures
 
 COLUMNS = "slice_id long, fecha date, empresa int, estado string"
 
@@ -49,11 +51,30 @@ def test_the_last_date_there_is(spark, billing):
     assert [r.slice_id for r in found.orderBy(F.col("slice_id")).collect()] == [1, 2]
 
 
-def test_ranges_cover_every_day():
-    days = [date(2024, 1, 1) + timedelta(days=n * n) for n in range(60)]
-    ranges = cover(days[::-1])
-    assert len(ranges) == RANGES
-    assert all(any(a <= day <= b for a, b in ranges) for day in days)
-    assert ranges[-1][0] == ranges[-1][1] == days[-1]
-    assert cover([]) == ()
-    assert cover([date.max]) == ((date.max, date.max),)
+def test_the_filter_stays_short_however_many_days(spark, sf_dir):
+    """Code generated for thousands of days is no longer than for three: the JVM compiles it."""
+    fact = fixtures.tables(spark, sf_dir, ["invoice_line"]).invoice_line
+    debug = spark._jvm.org.apache.spark.sql.execution.debug.package
+    lengths = []
+    for count in (3, 2000):
+        days = [date(1995, 1, 1) + timedelta(days=2 * n) for n in range(count)]
+        slices = SliceSet.of(spark, [Slice(day, 1, "G") for day in days])
+        kept = slices.select_from(fact, RunContext(), "de_fecha", "de_cod_empresa", "de_estado")
+        plan = kept._jdf.queryExecution()
+        assert plan.optimizedPlan().toString().count(" OR ") == 0
+        lengths.append(len(debug.codegenString(plan.sparkPlan())))
+    assert lengths[1] < 1.1 * lengths[0]
+
+
+def test_exactly_the_days_partitions_are_read(spark, billing, tmp_path):
+    days = [date(2024, 1, 1) + timedelta(days=n) for n in range(60)]
+    lines = billing(invoice_line=[dict(de_fecha=ts(f"{day} 10:00"), de_numero=n) for n, day in enumerate(days)]).invoice_line
+    write_by_day(lines, str(tmp_path / "lines"), "de_fecha")
+    stored = spark.read.parquet(str(tmp_path / "lines"))
+    slices = SliceSet.of(spark, [Slice(day, 1, "G") for day in days[::7]])
+    kept = slices.select_from(stored, RunContext(), "de_fecha", "de_cod_empresa", "de_estado")
+    assert sorted(r.de_numero for r in kept.collect()) == list(range(0, 60, 7))
+    read = [f for f in stored.filter(slices.on_dates(stored, "de_fecha")).inputFiles()]
+    assert len({f.split("de_fecha_dia=")[1][:10] for f in read}) >= 9
+    text = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in text and "unix_date(de_fecha_dia" in text
