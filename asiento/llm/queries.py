@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from asiento.llm.bpe_coding import encode_texts
 from asiento.llm import oracle
+from asiento.llm.collocations import collocations
 from asiento.llm.decontaminate import contamination
 from asiento.llm.language_id import fit, identify
 from asiento.llm.licences import licences
 from asiento.llm.line_dedup import without_boilerplate
 from asiento.llm.lm_score import score_texts
+from asiento.llm.mixing import mix
+from asiento.llm.prefix_trie import branched_trie
 from asiento.llm.quality_rules import quality_rules
 from asiento.llm.simhash import near_duplicates
 from asiento.llm.suffix_dedup import remove_repeats
@@ -101,3 +104,18 @@ def op9_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
     return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return branched_trie(read_table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read_table(spark, sf_dir, "documents"))
