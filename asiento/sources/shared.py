@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -45,6 +47,60 @@ def drop(spark: SparkSession, path: str) -> None:
     files.delete(at, True)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What lies in a folder; nothing if there is none."""
+    at, files = _file_system(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(at)] if files.exists(at) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    at, files = _file_system(spark, path)
+    stream = files.open(at)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def claim(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a file with this text, whole or not at all; False if another has made it.
+
+    On a cluster's file system a rename refuses to replace a file. Java's rename of local files
+    does not, so there a second name for the draft is made instead, which does.
+    """
+    folder, name = path.rsplit("/", 1)
+    draft = f"{folder}/draft-{uuid.uuid4().hex}"
+    at, files = _file_system(spark, draft)
+    if files.getScheme() == "file":
+        local = at.toUri().getPath()
+        target = f"{os.path.dirname(local)}/{name}"
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        with open(local, "x", encoding="utf-8") as file:
+            file.write(text)
+        try:
+            os.link(local, target)
+        except FileExistsError:
+            return False
+        finally:
+            os.remove(local)
+        return True
+    stream = files.create(at, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    context = hadoop.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(files.makeQualified(at), files.makeQualified(hadoop.Path(path)), options)
+        return True
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" not in str(error.java_exception.getClass().getName()):
+            raise
+        files.delete(at, False)
+        return False
+
+
 def _file_system(spark: SparkSession, path: str):
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at, at.getFileSystem(spark._jsc.hadoopConfiguration())

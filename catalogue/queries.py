@@ -441,6 +441,48 @@ def snk_journal_payments(spark, sf_dir):
     return table.read()
 
 
+def _in_parts(slices: SliceSet, spark: SparkSession, parts: int) -> list[SliceSet]:
+    """The slices in order, as several runs."""
+    listed = list(slices.listed.values())
+    size = -(-len(listed) // parts)
+    return [SliceSet.of(spark, listed[at : at + size]) for at in range(0, len(listed), size)]
+
+
+@register("snk_journal_invoices_in_parts", ORACLE["snk_invoices_state"])
+def snk_journal_invoices_in_parts(spark, sf_dir):
+    """The journal on files after 498 invoice runs, published as three versions."""
+    table = _stored_journal(spark, sf_dir)
+    tables = fixtures.tables(spark, sf_dir, fixtures.INVOICE_TABLES)
+    for part in _in_parts(invoice_calendar(spark), spark, 3):
+        table.run_invoices(tables, part, CTX)
+    return table.read()
+
+
+@register("snk_journal_payments_in_parts", ORACLE["snk_payments_state"])
+def snk_journal_payments_in_parts(spark, sf_dir):
+    """The journal on files after 180 payment runs, published as three versions, compacted after two."""
+    table = _stored_journal(spark, sf_dir)
+    tables = fixtures.tables(spark, sf_dir, fixtures.PAYMENT_TABLES)
+    *first, last = _in_parts(payment_calendar(spark), spark, 3)
+    for part in first:
+        table.run_payments(tables, part, CTX)
+    table.compact()
+    table.run_payments(tables, last, CTX)
+    return table.read()
+
+
+@register("snk_journal_earlier_version", ORACLE["snk_invoices_state"])
+def snk_journal_earlier_version(spark, sf_dir):
+    """The journal as it was before its payment runs, read when they are published and merged."""
+    table = _stored_journal(spark, sf_dir)
+    tables = fixtures.tables(spark, sf_dir)
+    table.run_invoices(tables, invoice_calendar(spark), CTX)
+    version = table.manifest().version
+    table.run_payments(tables, payment_calendar(spark), CTX)
+    table.compact()
+    return table.read(version)
+
+
 @register("snk_journal_replay", ORACLE["rvs_6_final_state"])
 def snk_journal_replay(spark, sf_dir):
     """The journal on files after a whole replay."""

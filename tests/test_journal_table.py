@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from decimal import Decimal
 from pathlib import Path
 
 import pytest
-from conftest import rows
+from conftest import rows, ts
 from pyspark.errors import StreamingQueryException
 
 from asiento.operators.reversals import reversal_calls
@@ -14,7 +16,7 @@ from asiento.operators.state import append_rows
 from asiento.plans import posting
 from asiento.slices import SliceSet
 from asiento.sources.schemas import JOURNAL
-from asiento.sources.journal import JournalTable
+from asiento.sources.journal import INVOICES, OTHERS, JournalTable, Manifest
 from asiento.sources.shared import shared_folder
 from asiento.streaming.requests import post_requests
 from catalogue import fixtures
@@ -47,7 +49,11 @@ def test_runs_on_files_equal_the_final_state(spark, tables, initial, ctx, tmp_pa
     same(table.read(), posting.final_state(initial, tables, slices, ctx))
 
 
-def test_a_partition_without_rows_is_emptied(spark, tables, initial, ctx, tmp_path):
+def files(table, kind="data"):
+    return {str(p) for p in Path(table.path).glob(f"{kind}/**/*.parquet")}
+
+
+def test_a_company_without_new_rows_is_emptied(spark, tables, initial, ctx, tmp_path):
     table = JournalTable(spark, str(tmp_path / "journal"))
     table.create(initial)
     nothing = SliceSet.of(spark, [("2030-01-01", 2, "G")])
@@ -56,15 +62,172 @@ def test_a_partition_without_rows_is_emptied(spark, tables, initial, ctx, tmp_pa
     assert rows(left, "in_cod_empresa") == [(1,), (3,)]
 
 
-def test_untouched_partitions_keep_their_files(spark, tables, initial, ctx, tmp_path):
+def test_a_run_writes_its_own_rows_only(spark, tables, initial, ctx, tmp_path):
+    """Also where payments go to companies that the run does not clear, and documents are purged."""
     table = JournalTable(spark, str(tmp_path / "journal"))
     table.create(initial)
-    before = set((tmp_path / "journal").glob("*/*/*.parquet"))
-    table.run_invoices(tables, SliceSet.of(spark, [("1997-03-01", 1, "G")]), ctx)
-    after = set((tmp_path / "journal").glob("*/*/*.parquet"))
-    changed = {p.parent.name for p in before ^ after if p.parent.parent.name == "doc_class=invoice"}
-    assert changed == {"in_cod_empresa=1"}
-    assert not [p for p in before ^ after if p.parent.parent.name == "doc_class=other"]
+    before = files(table)
+    slices = SliceSet.of(spark, [("2024-01-05", 2, "G")])
+    table.run(tables, slices, ctx)
+    assert before < files(table)
+    posted = posting.journal_by_slice(tables, slices, ctx).count()
+    new = spark.read.option("basePath", f"{table.path}/data").parquet(*(files(table) - before))
+    assert 0 < new.count() <= posted
+    # Company 1 has rows of the second system now, in a folder beside those that it had.
+    others = [e for e in table.manifest().entries if e.doc_class == OTHERS and 1 in e.companies]
+    assert len(others) == 2 and len(table.manifest().markers) == 1
+    same(table.read(), posting.final_state(initial, tables, slices, ctx))
+
+
+def test_a_run_reads_no_stored_rows(spark, tables, initial, ctx, tmp_path, monkeypatch):
+    """Neither the purge nor the clearing of a company looks at what the journal holds."""
+    table = JournalTable(spark, str(tmp_path / "journal"))
+    table.create(initial)
+    read = []
+    folders = table._folders
+    monkeypatch.setattr(table, "_folders", lambda entries: read.extend(e.run for e in entries) or folders(entries))
+    stored = {e.run for e in table.manifest().entries}
+    table.run(tables, SliceSet.of(spark, [("2024-01-05", 3, "G")]), ctx)
+    assert not stored & {*read}
+
+
+def test_readers_see_a_run_whole_or_not_at_all(spark, tables, initial, ctx, tmp_path, monkeypatch):
+    """The run is stopped when all its files are written, and when its manifest is."""
+    table = JournalTable(spark, str(tmp_path / "journal"))
+    table.create(initial)
+    slices = SliceSet.of(spark, [("2024-01-05", 3, "G")])
+    held = table.read()  # planned before the run
+
+    def lost(*_):
+        raise InterruptedError
+
+    with monkeypatch.context() as patch:
+        patch.setattr("asiento.sources.journal.claim", lost)
+        with pytest.raises(InterruptedError):
+            table.run_payments(tables, slices, ctx, once=str(tmp_path / "run"))
+    same(table.read(), initial)
+    staged = files(table)
+    table.run_payments(tables, slices, ctx, once=str(tmp_path / "run"))
+    assert files(table) == staged  # published as it was written
+    expected = posting.payments_state(initial, tables, slices, ctx)
+    same(table.read(), expected)
+    same(held, initial)
+    same(table.read(version=1), initial)
+
+
+def test_two_writers_give_one_order(spark, tables, initial, ctx, tmp_path, monkeypatch):
+    """Each has staged its run when both publish; the second finds its number taken."""
+    one, two = (JournalTable(spark, str(tmp_path / "journal")) for _ in range(2))
+    one.create(initial)
+    first, second = (SliceSet.of(spark, [s]) for s in (("2024-01-04", 2, "G"), ("2024-01-05", 1, "G")))
+    publish = one.publish
+    tried = []
+
+    def late(change):
+        two.run_payments(tables, second, ctx)
+        return publish(change)
+
+    manifest = one.manifest
+
+    def stale(version=None):
+        tried.append(version)
+        return Manifest.of(old) if len(tried) == 1 else manifest(version)
+
+    old = manifest().text()
+    monkeypatch.setattr(one, "publish", late)
+    monkeypatch.setattr(one, "manifest", stale)
+    one.run_payments(tables, first, ctx)
+    assert len(tried) == 2  # its first number was taken
+    expected = posting.payments_state(initial, tables, second, ctx)
+    same(two.read(), posting.payments_state(expected, tables, first, ctx))
+    assert two.versions() == [1, 2, 3]
+
+
+def test_many_writers_at_once(spark, billing, ctx, tmp_path):
+    table = JournalTable(spark, str(tmp_path / "journal"))
+    table.create()
+    forms = [dict(fp_num_pago=n, fp_forma_pago="EFE", fp_cod_empresa=n) for n in range(1, 7)]
+    tables = billing(payment_form=forms)
+
+    def post(company):
+        slices = SliceSet.of(spark, [("2024-01-05", company, "G")])
+        JournalTable(spark, table.path).run_payments(tables, slices, ctx)
+
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(post, range(1, 7)))
+    assert rows(table.read(), "in_num_documento", "in_cod_empresa") == [(n, n) for n in range(1, 7)]
+    assert table.versions() == [*range(1, 8)]
+
+
+def test_compaction_keeps_the_rows(spark, tables, initial, ctx, tmp_path, monkeypatch):
+    table = JournalTable(spark, str(tmp_path / "journal"))
+    table.create(initial)
+    state = initial
+    for one in (("2024-01-04", 2, "G"), ("2024-01-05", 3, "G"), ("2024-01-04", 3, "G")):
+        slices = SliceSet.of(spark, [one])
+        table.run(tables, slices, ctx)
+        state = posting.final_state(state, tables, slices, ctx)
+    kept = {(e.run, c) for e in table.manifest().entries for c in e.companies if e.doc_class == INVOICES}
+    assert table.compact() and not table.compact()
+    found = table.manifest()
+    assert not found.markers and all(len(found.where(e.doc_class, c)) == 1 for e in found.entries for c in e.companies)
+    # Companies of one folder that no marker is newer than are left where they are.
+    assert kept <= {(e.run, c) for e in found.entries for c in e.companies}
+    same(table.read(), state)
+    assert table.vacuum() and not table.vacuum()
+    same(table.read(), state)
+
+
+def test_a_run_during_a_compaction_wins(spark, tables, initial, ctx, tmp_path, monkeypatch):
+    table = JournalTable(spark, str(tmp_path / "journal"))
+    table.create(initial)
+    first, second = (SliceSet.of(spark, [s]) for s in (("2024-01-04", 2, "G"), ("2024-01-05", 1, "G")))
+    table.run(tables, first, ctx)
+    publish = table._publish
+
+    def late(next_):
+        JournalTable(spark, table.path).run(tables, second, ctx)
+        return publish(next_)
+
+    monkeypatch.setattr(table, "_publish", late)
+    table.compact()
+    state = posting.final_state(initial, tables, first, ctx)
+    same(table.read(), posting.final_state(state, tables, second, ctx))
+
+
+def test_a_repeated_replay_posts_nothing(spark, billing, ctx, tmp_path):
+    table = JournalTable(spark, str(tmp_path / "journal"))
+    table.create()
+    calls = reversal_calls(spark, [("2024-02-05", 1)])
+
+    def replay(value, run_ts):
+        cash = dict(fp_forma_pago="EFE", fp_estado="R", fp_valor=value)
+        tables = billing(payment=[dict(), dict(p_numero=5, p_tipo_docum=5)], payment_form=[cash], payment_reversal=[dict()])
+        table.replay(tables, calls, replace(ctx, run_ts=ts(run_ts)), only_changed=True)
+        return len(table.versions()), rows(table.read(), "in_valor", "in_fecha_ing")
+
+    first = replay(100.0, "2024-03-01")
+    assert first[1] == [(100.0, ts("2024-03-01"))]
+    written = files(table)
+    assert replay(100.0, "2024-04-01") == first
+    assert spark.read.option("basePath", f"{table.path}/data").parquet(*written).count() == 1
+    assert replay(7.0, "2024-04-01") == (first[0] + 1, [(7.0, ts("2024-04-01"))])
+
+
+def test_a_repeated_replay_adds_what_it_would_add(spark, tables, initial, ctx, tmp_path):
+    """Stray lines go to companies that the replay does not clear: they come again; company 1 is left alone."""
+    table = JournalTable(spark, str(tmp_path / "journal"))
+    table.create(initial)
+    calls = reversal_calls(spark, [("2024-02-05", 1)])
+    slices, ctx = posting.replay_slices(tables, calls, ctx)[1:]
+    held = []
+    state = initial
+    for _ in range(2):
+        table.run_payments(tables, slices, ctx, only_changed=True)
+        held.append([e.run for e in table.manifest().where(OTHERS, 1)])
+        state = posting.payments_state(state, tables, slices, ctx)
+    assert held[0] == held[1]
+    same(table.read(), state)
 
 
 def test_a_new_journal_takes_a_first_run(spark, tables, ctx, tmp_path):
@@ -97,30 +260,6 @@ def test_rows_without_company_stay(spark, billing, ctx, tmp_path):
     assert rows(table.read(), "in_num_documento") == [(7,), (8,)]
 
 
-def test_an_interrupted_publication_can_be_finished(
-    spark, tables, initial, ctx, tmp_path, monkeypatch
-):
-    table = JournalTable(spark, str(tmp_path / "journal"))
-    table.create(initial)
-    slices = SliceSet.of(spark, [("2024-01-05", 3, "G")])
-    staged = []
-
-    def interrupted(*arguments):
-        staged.append(arguments)
-        # One partition is replaced before the job is lost.
-        rows, doc_class, companies = arguments
-        JournalTable.publish(table, rows.filter("in_cod_empresa = 1"), doc_class, [1])
-        raise InterruptedError
-
-    monkeypatch.setattr(table, "publish", interrupted)
-    with pytest.raises(InterruptedError):
-        table.run_payments(tables, slices, ctx)
-    monkeypatch.undo()
-    for _ in range(2):
-        table.publish(*staged[0])
-        same(table.read(), posting.payments_state(initial, tables, slices, ctx))
-
-
 def test_nothing_staged_is_left(spark, tables, initial, ctx, tmp_path):
     table = JournalTable(spark, str(tmp_path / "journal"))
     table.create(initial)
@@ -140,13 +279,13 @@ def test_a_repeated_batch_is_posted_once(spark, tables, initial, ctx, tmp_path,
     asked.coalesce(1).write.json(str(tmp_path / "requests"))
     publish = table.publish
 
-    def failing(rows, doc_class, companies):
+    def failing(change):
         if lost == "after":
-            publish(rows, doc_class, companies)
-        if doc_class == "other":
+            publish(change)
+        if change.doc_class == OTHERS:
             raise InterruptedError
         if lost == "before":
-            publish(rows, doc_class, companies)
+            publish(change)
 
     def start():
         arriving = spark.readStream.schema(schema).json(str(tmp_path / "requests"))
