@@ -26,6 +26,7 @@ from asiento.plans.rules import (
 )
 from asiento.slices import ROW_COLUMNS, SliceSet
 from asiento.sources.schemas import INVOICE_ROW
+from asiento.sources.shared import write_shared
 from asiento.sources.tables import Tables
 
 
@@ -127,7 +128,13 @@ def _insurer_rows(tables: Tables, slices: SliceSet, ctx: RunContext) -> DataFram
     of_invoice = F.col("de_numero") == F.col("fa_numero")
     of_order = F.col("fa_ord_tra") == F.col("ot_codigo")
     # The lines shrink the invoices before these meet the work orders.
-    insured = lines.join(invoices, of_invoice).join(orders, of_order)
+    invoiced = lines.join(invoices, of_invoice)
+    if ctx.keys_first:
+        invoiced = write_shared(invoiced, "invoiced")
+        asked = write_shared(invoiced.select(F.col("fa_ord_tra").alias("asked")).distinct(), "orders")
+        # Files of known size: under its threshold Spark broadcasts them, and no other work order is shuffled.
+        orders = orders.join(asked, F.col("ot_codigo") == F.col("asked"), "left_semi")
+    insured = invoiced.join(orders, of_order)
     posted = insured.join(
         accounts,
         (F.col("de_item") == F.col("pf_id_producto"))

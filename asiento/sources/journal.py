@@ -37,7 +37,7 @@ from asiento.plans.posting import lasting_invoices, lasting_payments, replay_sli
 from asiento.plans.rules import REPLAY_COMPANY
 from asiento.slices import SliceSet
 from asiento.sources.schemas import JOURNAL
-from asiento.sources.shared import claim, drop, exists, mark, names, read_text
+from asiento.sources.shared import claim, drop, exists, mark, names, read_text, scratch
 from asiento.sources.tables import Tables
 
 log = logging.getLogger(__name__)
@@ -275,6 +275,8 @@ class JournalTable:
         self, tables: Tables, slices: SliceSet, ctx: RunContext, once: str | None = None, only_changed: bool = False
     ) -> None:
         """Post the invoices of ``slices`` in order; ``once`` and ``only_changed`` as for ``run``."""
+        # Only the last slice of each company lasts: few days, whatever the run.
+        ctx = replace(ctx, keys_first=True)
 
         def stage(run: str) -> None:
             nothing = self.spark.createDataFrame([], self.schema)
@@ -337,7 +339,8 @@ class JournalTable:
             return
         # The writer leaves this file when all rows are written.
         if not exists(self.spark, f"{self._folder(run)}/_SUCCESS"):
-            stage(run)
+            with scratch(self.spark):
+                stage(run)
             log.info("staged %s rows in %s", doc_class, self._folder(run))
         cleared = frozenset(row.empresa for row in slices.companies().collect())
         posted = self._companies(run, doc_class)

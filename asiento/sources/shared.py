@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -24,9 +27,27 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_OWNER: ContextVar[str | None] = ContextVar("owner", default=None)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A folder of its own for one intermediate table."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_OWNER.get() or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables written within are removed at its end, when results must be written.
+
+    Without an owner they stay in the shared folder, since a plan that reads them may still run.
+    """
+    folder = new_path(spark, "scratch")
+    token = _OWNER.set(folder)
+    try:
+        yield folder
+    finally:
+        _OWNER.reset(token)
+        drop(spark, folder)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

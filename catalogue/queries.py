@@ -8,6 +8,7 @@ posting for a single date, company and state, as one procedure call does.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,6 +87,14 @@ def inv_9_post_one_slice(spark, sf_dir):
     return post_invoices(tables, SliceSet.of(spark, [INVOICE_SLICE]), CTX).drop(*ROW_COLUMNS)
 
 
+@register("inv_9_post_one_slice_keys_first", ORACLE["inv_9_post_one_slice"])
+def inv_9_post_one_slice_keys_first(spark, sf_dir):
+    """The same, with the work orders reduced to those of the slice before they are shuffled."""
+    tables = fixtures.tables(spark, sf_dir, fixtures.INVOICE_TABLES)
+    ctx = replace(CTX, keys_first=True)
+    return post_invoices(tables, SliceSet.of(spark, [INVOICE_SLICE]), ctx).drop(*ROW_COLUMNS)
+
+
 @register(
     "inv_post_all_months",
     oracle.statement(

@@ -6,6 +6,7 @@ import re
 from contextlib import contextmanager
 from dataclasses import replace
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from asiento.plans import posting
 from asiento.plans.rules import INSURER_BRANCH, INVOICE_BRANCHES
 from asiento.slices import ROW_COLUMNS, SliceSet
 from asiento.sources.facts import write_by_day
+from asiento.sources.shared import scratch
 from asiento.sources.tables import Tables
 from catalogue import fixtures
 from catalogue.queries import QUERIES, invoice_calendar, one_call, payment_calendar
@@ -196,6 +198,46 @@ def test_facts_written_by_day_are_read_by_partition(spark, stored, ctx, tmp_path
     assert "dynamicpruning" in plan(post_invoices(tables, present, ctx))
 
 
+def test_work_orders_of_other_days_are_dropped_before_they_move(spark, stored, ctx):
+    slices = SliceSet.of(spark, [("1997-03-01", 1, "G")])
+    branch = ["insurer_receivable"]
+    with scratch(spark):
+        df = executed(invoice_rows(stored, slices, replace(ctx, keys_first=True), branch))
+        with settings(spark, adaptive__enabled="false"):
+            tree = plan(invoice_rows(stored, slices, replace(ctx, keys_first=True), branch), "simple")
+        same_rows(df, invoice_rows(stored, slices, ctx, branch))
+        same_rows(invoice_rows(stored, slices, ctx, branch), df)
+        assert "LeftSemi" in tree and tree.index("LeftSemi") < tree.rindex("ot_codigo")
+        # Between the scan of the work orders and the join that drops most of them nothing is exchanged.
+        part = tree[tree.index("LeftSemi") :]
+        part = part[: part.index("ot_cia_seguros")]
+        assert "Exchange hashpartitioning" not in part
+        with settings(spark, **NO_BROADCAST):
+            same_rows(invoice_rows(stored, slices, replace(ctx, keys_first=True), branch), df)
+
+
+def test_one_slice_reads_one_file_of_the_forms(spark, stored, ctx, tmp_path):
+    """Day and company are partitions, and rows of a state lie together in their file."""
+    write_by_day(stored.payment_form, str(tmp_path / "forms"), "fp_fecha", "fp_cod_empresa", order=("fp_estado",))
+    forms = spark.read.parquet(str(tmp_path / "forms"))
+    files = forms.inputFiles()
+    slices = SliceSet.of(spark, [("2024-01-05", 1, "G")])
+    kept = slices.select_from(forms, ctx, "fp_fecha", "fp_cod_empresa", "fp_estado")
+    kept.collect()
+    scan = re.search(r"Scan parquet", kept._jdf.queryExecution().executedPlan().toString())
+    assert scan and len(files) > 50
+    read = kept.select(F.input_file_name().alias("file")).distinct().count()
+    node = kept._jdf.queryExecution().executedPlan()
+    while node.children().size():
+        node = node.children().head()
+    assert read == 1 and node.metrics().apply("numFiles").value() == 1
+    for file in files[:5]:
+        states = pq.read_table(file.removeprefix("file://"))["fp_estado"].to_pylist()
+        assert states == sorted(states)
+    tables = replace(stored, payment_form=forms.withColumn("fp_cod_empresa", F.col("fp_cod_empresa").cast("int")))
+    same_rows(posting.post_payments(tables, slices, ctx), posting.post_payments(stored, slices, ctx))
+
+
 def test_payments_written_by_day(spark, stored, ctx, tmp_path):
     dates = {
         "payment": "p_fecha", "payment_line": "dp_fecha_documento", "payment_form": "fp_fecha",
