@@ -32,9 +32,9 @@ class RunContext:
     ``collation``     Spark collation for comparing codes; None compares bytes
     ``ext_only_for_company``  post second-system forms only in slices of this company;
                       None posts them in every slice, whatever its company
-    ``keys_first``    write the insured lines of the slices and the numbers of their work orders
-                      first, so that work orders of other days are dropped before they move: for
-                      runs of few days against a long history. Costs two small writes
+    ``keys_first``    write the insured lines of the slices and the numbers of their invoices and
+                      work orders first, so that those of other days are dropped before they move:
+                      for runs of few days against a long history. Costs four small writes
     """
 
     user: str = "SA"

@@ -127,13 +127,14 @@ def _insurer_rows(tables: Tables, slices: SliceSet, ctx: RunContext) -> DataFram
     )
     of_invoice = F.col("de_numero") == F.col("fa_numero")
     of_order = F.col("fa_ord_tra") == F.col("ot_codigo")
-    # The lines shrink the invoices before these meet the work orders.
-    invoiced = lines.join(invoices, of_invoice)
     if ctx.keys_first:
-        invoiced = write_shared(invoiced, "invoiced")
-        asked = write_shared(invoiced.select(F.col("fa_ord_tra").alias("asked")).distinct(), "orders")
-        # Files of known size: under its threshold Spark broadcasts them, and no other work order is shuffled.
-        orders = orders.join(asked, F.col("ot_codigo") == F.col("asked"), "left_semi")
+        lines = write_shared(lines, "lines")
+        invoices = _asked_for(invoices, "fa_numero", lines, "de_numero")
+        invoiced = write_shared(lines.join(invoices, of_invoice), "invoiced")
+        orders = _asked_for(orders, "ot_codigo", invoiced, "fa_ord_tra")
+    else:
+        # The lines shrink the invoices before these meet the work orders.
+        invoiced = lines.join(invoices, of_invoice)
     insured = invoiced.join(orders, of_order)
     posted = insured.join(
         accounts,
@@ -143,6 +144,16 @@ def _insurer_rows(tables: Tables, slices: SliceSet, ctx: RunContext) -> DataFram
     return _to_journal(posted, _amount(rule.amount), ctx)
 
 
+def _asked_for(table: DataFrame, key: str, asking: DataFrame, by: str) -> DataFrame:
+    """The rows of ``table`` that ``asking`` names.
+
+    The names are written first: a file of known size, which Spark broadcasts under its threshold,
+    so that other rows of ``table`` are dropped where they are read.
+    """
+    asked = write_shared(asking.select(F.col(by).alias("asked")).distinct(), "asked")
+    return table.join(asked, F.col(key) == F.col("asked"), "left_semi")
+
+
 def _amount(name: str) -> Column:
     return {
         "tax": credit(money("de_itbis")),
