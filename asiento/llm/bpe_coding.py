@@ -1,73 +1,96 @@
 """BPE encoding and decoding of whole texts.
 
 ``encode_texts`` passes each text through the streaming transducer of ``word_bpe`` in slices, and
-the ids through the decoder's state machine, so memory does not grow with the length of a
-text. It is a function of one text: one pass over the rows, no shuffle.
+the ids it emits through one incremental decoder, whose output is what is hashed; memory does
+not grow with the length of a text. It is a function of one text: one pass over the rows, no shuffle.
+
+Text may be cut at any white space, so what lies between two white spaces passes through the transducer
+alone. A worker remembers the ids that it emitted for a bounded number of such chunks of up to ``CHUNK`` characters;
+longer ones, and those that a slice cuts, go through the stream each time.
 
 Defined results: NULL counts as empty and gives no ids and an empty decoded text; copies of a
-row come out alike; other columns are left alone.
+row come out alike; very long texts are looked at slice by slice; other columns are left alone.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from asiento.llm.word_bpe import Decoder, Encoder, WordBPE
+from asiento.llm.word_bpe import LAST_SPACE, SPACE, Decoder, Encoder, WordBPE, WordStream
 
 #: Characters of a text that are looked at together.
 SLICE = 1 << 16
-#: Pre-tokens whose pieces a Python worker remembers; then it starts over.
-REMEMBERED = 150_000
+#: Chunks between white space whose ids a Python worker remembers; then it starts over.
+REMEMBERED = 250_000
+#: Characters of the longest chunk that is remembered.
+CHUNK = 64
+#: White space to Python's ``split``, but not to the vocabulary's pattern.
+ODD = re.compile("[\x1c-\x1f]")
 
 DIGESTS = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>"
 
 
 class Coder:
-    """The merge list with a bounded memory of pre-tokens met before."""
+    """The transducer with a bounded memory of chunks met before."""
 
     def __init__(self, path: str):
         self.bpe = WordBPE(path)
-        self.known: dict[str, tuple[int, str, str]] = {}
-
-    def look_up(self, word: str) -> tuple[int, str, str]:
-        """Number of ids, the ids as text, and the token strings, blanks between."""
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.decimal = [str(n) for n in range(max(self.bpe.tokens) + 1)]
+
+    def emitted(self, word: str) -> list[int]:
+        """What the transducer emits for a pre-token."""
+        if word in self.bpe.special:
+            return [self.bpe.special[word]]
+        stream = WordStream(self.bpe)
+        return [*stream.feed(word), *stream.finish()]
+
+    def look_up(self, chunk: str) -> tuple[int, ...]:
+        if len(chunk) > CHUNK:
+            return tuple(Encoder(self.bpe).feed(chunk, last=True))
         if len(self.known) >= REMEMBERED:
             self.known.clear()
-        ids = self.bpe.encode_word(word)
-        # What the decoder in joined form adds for these ids.
-        found = len(ids), " ".join(map(str, ids)), " ".join(map(self.bpe.tokens.__getitem__, ids))
-        self.known[word] = found
+        found = tuple(chain.from_iterable(map(self.emitted, self.bpe.pre_tokens(chunk))))
+        self.known[chunk] = found
         return found
 
-    def pieces(self, text: str) -> Iterator[tuple[int, str, str]]:
-        """Stretches of the encoded text: how many ids, the ids, the token strings."""
+    def ids(self, text: str) -> Iterator[list[int]]:
+        """The ids of a text, stretch by stretch."""
         encoder, known = Encoder(self.bpe), self.known
-        for start in range(0, max(len(text), 1), SLICE):
-            last = start + SLICE >= len(text)
-            for words in encoder.words(text[start : start + SLICE], last):
-                if not words:
-                    continue
-                if isinstance(words[0], int):
-                    yield len(words), " ".join(map(str, words)), Decoder(self.bpe).feed(words)
-                    continue
-                found = [known.get(w) or self.look_up(w) for w in words]
-                count, ids, tokens = zip(*found)
-                yield sum(count), " ".join(ids), " ".join(tokens)
+        for start in range(0, len(text), SLICE):
+            part, last = text[start : start + SLICE], start + SLICE >= len(text)
+            if encoder.waits:
+                space = SPACE.search(part)
+                cut = space.end() if space else len(part)
+                yield [*encoder.feed(part[:cut], last and cut == len(part))]
+                part = part[cut:]
+            if encoder.waits or ODD.search(part):
+                yield [*encoder.feed(part, last)]
+                continue
+            found = None if last else LAST_SPACE.search(part)
+            cut = len(part) if last else found.end() if found else 0
+            yield [*chain.from_iterable([known.get(c) or self.look_up(c) for c in part[:cut].split()])]
+            if cut < len(part):
+                yield [*encoder.feed(part[cut:])]
 
     def digests(self, text: str) -> tuple[int, str, str]:
-        total, ids, decoded = 0, hashlib.sha256(), hashlib.sha256()
-        for count, some_ids, tokens in self.pieces(text):
-            blank = " " if total else ""
-            ids.update((blank + some_ids).encode())
-            decoded.update((blank + tokens).encode())
-            total += count
-        return total, ids.hexdigest(), decoded.hexdigest()
+        total, encoded, decoded = 0, hashlib.sha256(), hashlib.sha256()
+        decoder, decimal = Decoder(self.bpe), self.decimal.__getitem__
+        for ids in self.ids(text):
+            if ids:
+                encoded.update(((" " if total else "") + " ".join(map(decimal, ids))).encode())
+                decoded.update(decoder.feed(ids).encode())
+                total += len(ids)
+        decoded.update(decoder.feed([], last=True).encode())
+        return total, encoded.hexdigest(), decoded.hexdigest()
 
 
 @lru_cache(2)

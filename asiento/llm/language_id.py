@@ -12,26 +12,27 @@ centroid, is all that one task or the driver ever holds. Prediction is one pass
 
 Defined results: NULL texts and texts without a letter are ``und`` with score 0, and are
 rejected; so is every text where nothing was learned. Rows without a language
-teach nothing. Copies teach once. Equal cosines go to the language first in order. Other
+teach nothing. Copies teach once. Equal cosines go to the language first in order. A letter is what Unicode
+calls one: digits, fractions and Roman numerals of their own are not. Very long texts are counted in slices. Other
 columns are left alone.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from asiento.llm.tables import write_shared
 
 UNKNOWN = "und"
-NO_LETTERS = re.compile(r"[\W\d_]+")
+NO_LETTERS = regex.compile(r"\P{L}+")
+SLICE = 1 << 16  # characters of a text whose n-grams are counted at once
 PREDICTION = "struct<lang_pred:string,score:double,rejected:boolean>"
 
 
@@ -63,14 +64,16 @@ def counts(text: str | None, p: Parameters) -> tuple[np.ndarray | None, int]:
     plain = NO_LETTERS.sub(" ", (text or "").lower()).strip()
     if not plain:
         return None, 0
-    points = np.frombuffer(f" {plain} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    total = np.zeros(p.slots)
-    key = np.zeros(len(points), np.uint64)
-    for order in range(1, p.orders + 1):
-        key = key[: len(points) - order + 1] * np.uint64(0x100000001B3) + points[order - 1 :]
-        mixed = (key ^ np.uint64(order)) * np.uint64(0x9E3779B97F4A7C15)
-        slots = (mixed >> np.uint64(40)).astype(np.int64) % p.slots
-        total += np.bincount(slots, minlength=p.slots)
+    framed, total = f" {plain} ", np.zeros(p.slots)
+    for start in range(0, len(framed), SLICE):
+        part = framed[start : start + SLICE + p.orders - 1]  # with the n-grams that begin in the slice
+        points = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        key = np.zeros(len(points), np.uint64)
+        for order in range(1, p.orders + 1):
+            key = key[: max(len(points) - order + 1, 0)] * np.uint64(0x100000001B3) + points[order - 1 :]
+            mixed = (key[:SLICE] ^ np.uint64(order)) * np.uint64(0x9E3779B97F4A7C15)
+            slots = (mixed >> np.uint64(40)).astype(np.int64) % p.slots
+            total += np.bincount(slots, minlength=p.slots)
     return total, len(plain) - plain.count(" ")
 
 

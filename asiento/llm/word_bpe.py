@@ -244,6 +244,11 @@ class Encoder:
         self.open: WordStream | None = None
         self.goes_on = LETTERS
 
+    @property
+    def waits(self) -> bool:
+        """Whether something is held back until more text comes."""
+        return bool(self.held or self.open)
+
     def words(self, text: str, last: bool = False) -> Iterator[list[str] | list[int]]:
         self.held += text
         if last:
@@ -331,7 +336,11 @@ class Decoder:
         self.utf8 = codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, ids: Iterable[int], last: bool = False) -> str:
-        tokens = [self.bpe.tokens[n] for n in ids if n in self.bpe.tokens]
+        ids = list(ids)
+        try:
+            tokens = [*map(self.bpe.tokens.__getitem__, ids)]
+        except KeyError:  # numbers that are no token are passed over
+            tokens = [self.bpe.tokens[n] for n in ids if n in self.bpe.tokens]
         if self.joined:
             out = " ".join(tokens)
             out, self.begun = (" " + out if self.begun and tokens else out), self.begun or bool(tokens)
