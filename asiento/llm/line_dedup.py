@@ -10,7 +10,8 @@ never boilerplate. A text that has nothing but boilerplate lines is a copy as a
 near-duplicate removal, and keeps its lines.
 
 Defined results: NULL and empty texts have no lines and stay as they are; rows without a site
-count as one more site; copies of a row are decided alike. Other columns are left alone.
+count as one more site; copies of a row are decided alike. Texts of any length are taken whole, each in the
+memory of one task. Other columns are left alone.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from asiento.llm.tables import row_key
+from asiento.llm.tables import row_key, write_shared
 
 BARE = " \t\n\x0b\f\r"
 
@@ -53,6 +54,9 @@ def boilerplate(lines: DataFrame, p: Parameters) -> DataFrame:
     spread = lines.groupBy("h", "length").agg(sketch.alias("sites"))
     wide = spread.where(F.col("sites") > p.min_sites + p.near).select("h", "length")
     close = spread.where(F.abs(F.col("sites") - p.min_sites) <= p.near).select("h", "length")
+    # Written, these lists have a known size: Spark broadcasts them under its threshold, and beyond it
+    # joins two plain exchanges, of which it splits a line that is on a third of all pages.
+    close = write_shared(close, "close")
     exact = lines.select("h", "length", "site").join(close, ["h", "length"], "left_semi").distinct()
     counted = exact.groupBy("h", "length").agg(F.count("*").alias("sites"))
     return wide.union(counted.where(F.col("sites") >= p.min_sites).select("h", "length"))
@@ -61,7 +65,7 @@ def boilerplate(lines: DataFrame, p: Parameters) -> DataFrame:
 def without_boilerplate(docs: DataFrame, site: str = "source", p: Parameters = Parameters()) -> DataFrame:
     """``row`` (the columns of ``docs``), ``n_lines``, ``n_removed`` and ``kept``, one for each row."""
     lines = lines_of(docs, site)
-    common = boilerplate(lines, p)
+    common = write_shared(boilerplate(lines, p), "common")
     found = lines.join(common, ["h", "length"]).groupBy("doc_id", "row_key").agg(F.collect_set("no").alias("drop"))
     text = F.col("row.text").cast("string")
     held = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), row_key(F.col("text")).alias("own_key"))
