@@ -5,8 +5,8 @@ the ids it emits through one incremental decoder, whose output is what is hashed
 not grow with the length of a text. It is a function of one text: one pass over the rows, no shuffle.
 
 Text may be cut at any white space, so what lies between two white spaces passes through the transducer
-alone. A worker remembers the ids that it emitted for a bounded number of such chunks of up to ``CHUNK`` characters;
-longer ones, and those that a slice cuts, go through the stream each time.
+alone. A worker remembers the ids that were emitted for a bounded number of such chunks of up to ``CHUNK`` characters,
+and of their pre-tokens; longer ones, and those that a slice cuts, go through the stream each time.
 
 Defined results: NULL counts as empty and gives no ids and an empty decoded text; copies of a
 row come out alike; very long texts are looked at slice by slice; other columns are left alone.
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -28,8 +28,8 @@ from asiento.llm.word_bpe import LAST_SPACE, SPACE, Decoder, Encoder, WordBPE, W
 
 #: Characters of a text that are looked at together.
 SLICE = 1 << 16
-#: Chunks between white space whose ids a Python worker remembers; then it starts over.
-REMEMBERED = 250_000
+#: Chunks, and pre-tokens, whose ids a Python worker remembers: so many met of late, and as many before.
+REMEMBERED = 400_000
 #: Characters of the longest chunk that is remembered.
 CHUNK = 64
 #: White space to Python's ``split``, but not to the vocabulary's pattern.
@@ -38,33 +38,49 @@ ODD = re.compile("[\x1c-\x1f]")
 DIGESTS = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>"
 
 
+class Memory(dict):
+    """Values of ``make`` for the keys met of late; a key not met for long is forgotten."""
+
+    def __init__(self, make: Callable[[str], tuple[int, ...]]):
+        super().__init__()
+        self.make, self.before = make, {}
+
+    def __missing__(self, key: str) -> tuple[int, ...]:
+        found = self.before.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(key) <= CHUNK:
+            if len(self) >= REMEMBERED:
+                self.before = dict(self)
+                self.clear()
+            self[key] = found
+        return found
+
+
 class Coder:
     """The transducer with a bounded memory of chunks met before."""
 
     def __init__(self, path: str):
         self.bpe = WordBPE(path)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.words = Memory(self.emitted)
+        self.chunks = Memory(self.of_chunk)
         self.decimal = [str(n) for n in range(max(self.bpe.tokens) + 1)]
 
-    def emitted(self, word: str) -> list[int]:
+    def emitted(self, word: str) -> tuple[int, ...]:
         """What the transducer emits for a pre-token."""
         if word in self.bpe.special:
-            return [self.bpe.special[word]]
+            return (self.bpe.special[word],)
         stream = WordStream(self.bpe)
-        return [*stream.feed(word), *stream.finish()]
+        return (*stream.feed(word), *stream.finish())
 
-    def look_up(self, chunk: str) -> tuple[int, ...]:
+    def of_chunk(self, chunk: str) -> tuple[int, ...]:
         if len(chunk) > CHUNK:
             return tuple(Encoder(self.bpe).feed(chunk, last=True))
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        found = tuple(chain.from_iterable(map(self.emitted, self.bpe.pre_tokens(chunk))))
-        self.known[chunk] = found
-        return found
+        return tuple(chain.from_iterable(map(self.words.__getitem__, self.bpe.pre_tokens(chunk))))
 
     def ids(self, text: str) -> Iterator[list[int]]:
         """The ids of a text, stretch by stretch."""
-        encoder, known = Encoder(self.bpe), self.known
+        encoder, known = Encoder(self.bpe), self.chunks.__getitem__
         for start in range(0, len(text), SLICE):
             part, last = text[start : start + SLICE], start + SLICE >= len(text)
             if encoder.waits:
@@ -77,7 +93,7 @@ class Coder:
                 continue
             found = None if last else LAST_SPACE.search(part)
             cut = len(part) if last else found.end() if found else 0
-            yield [*chain.from_iterable([known.get(c) or self.look_up(c) for c in part[:cut].split()])]
+            yield [*chain.from_iterable(map(known, part[:cut].split()))]
             if cut < len(part):
                 yield [*encoder.feed(part[cut:])]
 
