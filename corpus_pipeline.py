@@ -1,7 +1,8 @@
 """A corpus pipeline: five stages, each on what the one before kept.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
-read again as the next one's ``docs``. All but the last return the columns of ``documents``.
+read again as the next one's ``docs``. All but the last return the columns of ``documents``. An empty
+table passes through every stage, and texts of any length are taken whole.
 """
 
 from __future__ import annotations
@@ -20,29 +21,29 @@ VOCABULARY = "word_bpe_49k.json"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts too far from every language of the input go."""
+    """Texts too far from every language of the input go; so do NULL texts and those without a letter. Copies are decided alike."""
     ship(spark)
     return keep_known(docs, fit(docs.select("text", "lang")))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that are on many sources go from the texts."""
+    """Lines that are on many sources go from the texts; NULL and empty texts stay as they are, copies come out alike."""
     return drop_boilerplate(docs)
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One text of each group of near-duplicates stays."""
+    """One text of each group of near-duplicates stays; NULL, empty and blank texts are one such group."""
     ship(spark)
     return one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts that hold a passage of the benchmark go."""
+    """Texts that hold a passage of the benchmark go; NULL and empty texts hold none, copies are decided alike."""
     return clean(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def bpe_coding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Digests of the ids of each text, and of what they decode to."""
+    """Digests of the ids of each text, and of what they decode to; NULL counts as empty, and every row gives one."""
     ship(spark)
     return encode_texts(docs, public_tokenizers.path(VOCABULARY))
 
