@@ -4,67 +4,29 @@ Texts are cut into pieces at line feeds and after the ends of sentences; pieces
 form (lower-case A-Z, runs of anything but letters and digits as one blank). Known sentences are
 cut and made plain in the same way. A sentence is found where consecutive pieces together give its
 words, so that it may be wrapped over lines at any blank; it begins and ends with a piece. A
-rule is an ordered list of sentences; it is met where they follow each other with nothing between.
+text so becomes a sequence of sentences, the longest known one at each piece, or else the piece; a map gives
+each known sentence its identifier. A rule is an ordered list of identifiers; it is met where they follow each
+other with nothing between. Rules are taken from the left, the longest first, so that a rule covers its parts.
 Numbers and bullets of lists are left out if the line before ended a sentence or was empty.
 
 Sentences and rules are fixed lists, so both are small whatever the corpus. Everything is a
-function of one text: one pass, no shuffle. The words of each rule are looked for first; only
-where a text has them are the places counted.
+function of one text: one pass, no shuffle, and one search for all sentences, however many are known.
+Very long texts are taken whole; a text takes some times its size in memory while its pieces are made.
 
 Defined results: NULL and empty texts meet no rule; a text can meet several rules, or one in
-several places; a rule whose sentences are part of a longer rule that is met at the same place is still
-reported. Copies of a row come out as often as they came in. Other columns are left alone.
+several places. Copies of a row come out as often as they came in. Other columns are left alone.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from asiento.llm.licence_rules import RULES, SENTENCES
 from asiento.llm.tables import fold_ascii
 
-# -- fixed values: the wording of well-known public licences, and the order of their sentences
-
-SENTENCES = {
-    "mit-notice": "Released under the MIT License.",
-    "apache2-notice": "Licensed under the Apache License, Version 2.0.",
-    "gpl3-notice": "This work is licensed under the GNU General Public License, version 3.",
-    "ccbync4-notice": "Licensed under CC BY-NC 4.0.",
-    "ccby4-notice": "Licensed under CC BY 4.0.",
-    "rights": "All rights reserved.",
-    "mit-1": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
-    "mit-2": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
-    "mit-3": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
-    "isc-1": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
-    "isc-2": "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.",
-    "bsd-1": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
-    "bsd-2": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
-    "bsd-3": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
-    "bsd-4": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
-    "apache2-1": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
-    "apache2-2": "You may obtain a copy of the License at",
-    "apache2-3": "http://www.apache.org/licenses/LICENSE-2.0",
-    "gpl-2": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    "gpl-3": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
-    "mpl2-1": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "mpl2-2": "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
-    "unlicense-1": "This is free and unencumbered software released into the public domain.",
-}
-
-RULES = {
-    "MIT": [["mit-notice"], ["mit-1", "mit-2", "mit-3"]],
-    "Apache-2.0": [["apache2-notice"], ["apache2-1", "apache2-2", "apache2-3"]],
-    "GPL-3.0": [["gpl3-notice"], ["gpl-2", "gpl-3"]],
-    "CC-BY-NC-4.0": [["ccbync4-notice"]],
-    "CC-BY-4.0": [["ccby4-notice"]],
-    "ISC": [["isc-1", "isc-2"]],
-    "BSD-2-Clause": [["bsd-1", "bsd-2", "bsd-3"]],
-    "BSD-3-Clause": [["bsd-1", "bsd-2", "bsd-3", "bsd-4"]],
-    "MPL-2.0": [["mpl2-1", "mpl2-2"]],
-    "Unlicense": [["unlicense-1"]],
-    "All-rights-reserved": [["rights"]],
-}
-
 #: A piece ends at a line feed, or after one of .!?: before white space.
 PIECE_END = r"\n|(?<=[.!?:])[ \t]+"
 PLAIN = r"[^0-9a-z\x80-\x{10FFFF}]+"
@@ -75,6 +37,10 @@ LIST_MARK = (
 )
 
 
+#: Stands for a sentence that is not in the list.
+UNKNOWN = "-"
+
+
 def plain(piece: Column) -> Column:
     return F.trim(F.regexp_replace(fold_ascii(piece), PLAIN, " "))
 
@@ -86,29 +52,47 @@ def pieces(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, PIECE_END), plain), lambda s: s != "")
 
 
-def wordings(spark: SparkSession, sentences: dict[str, str]) -> dict[str, str]:
-    """The plain words of each sentence of the fixed list."""
-    rows = spark.createDataFrame([*sentences.items()], "name string, sentence string")
-    return {r.name: r.words for r in rows.select("name", F.array_join(pieces(F.col("sentence")), " ").alias("words")).collect()}
+def wordings(spark: SparkSession, sentences: dict[str, str | tuple[str, ...]]) -> dict[str, str]:
+    """The identifier of each sentence of the fixed list, by its plain words."""
+    given = [(name, s) for name, known in sentences.items() for s in ((known,) if isinstance(known, str) else known)]
+    rows = spark.createDataFrame(given, "name string, sentence string")
+    return {r.words: r.name for r in rows.select("name", F.array_join(pieces(F.col("sentence")), " ").alias("words")).collect()}
+
+
+def any_of(parts: Iterable[str]) -> str:
+    """A pattern for one of ``parts``, a longer one before its beginnings."""
+    return "|".join(sorted(parts, key=len, reverse=True))
+
+
+def lookup(names: dict[str, str], key: Column) -> Column:
+    entries = [F.lit(x) for pair in names.items() for x in pair]
+    return F.coalesce(F.try_element_at(F.create_map(*entries), key), F.lit(UNKNOWN))
+
+
+def sentences_of(cut: Column, known: dict[str, str]) -> Column:
+    """The identifiers of a text's sentences in order, ``UNKNOWN`` for others; empty if no sentence is known.
+
+    ``cut`` holds the pieces, each after a line feed, and one more at the end.
+    """
+    # Between words a piece may end; at the end of a sentence one must.
+    found = any_of(words.replace(" ", "[ \n]") for words in known)
+    runs = F.regexp_extract_all(cut, F.lit(f"\n({found}|[^\n]+)(?=\n)"), F.lit(1))
+    named = F.transform(runs, lambda run: lookup(known, F.translate(run, "\n", " ")))
+    return F.when(F.rlike(cut, F.lit(f"\n(?:{found})(?=\n)")), named).otherwise(F.array().cast("array<string>"))
 
 
-def licences(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules: dict[str, list[list[str]]] = RULES) -> DataFrame:
+def licences(
+    docs: DataFrame, sentences: dict[str, str | tuple[str, ...]] = SENTENCES, rules: dict[str, list[list[str]]] = RULES
+) -> DataFrame:
     """``doc_id, licences`` (sorted, distinct) and ``n_matches`` for each row of ``docs``."""
-    words = wordings(docs.sparkSession, sentences)
+    known = wordings(docs.sparkSession, sentences)
+    met_by = {"\n".join(names): licence for licence, variants in rules.items() for names in variants}
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     cut = docs.select("doc_id", F.concat(F.lit("\n"), F.array_join(pieces(text), "\n"), F.lit("\n")).alias("cut"))
-    cut = cut.withColumn("flat", F.translate("cut", "\n", " "))
-    counts = []
-    for licence, variants in rules.items():
-        for names in variants:
-            held = F.contains("flat", F.lit(f" {' '.join(words[n] for n in names)} "))
-            # Between words a piece may end; between sentences one must.
-            place = "\n(?=" + "\n".join(words[n].replace(" ", "[ \n]") for n in names) + "\n)"
-            n = F.when(held, F.regexp_count("cut", F.lit(place))).otherwise(0)
-            counts.append(F.struct(F.lit(licence).alias("licence"), n.cast("bigint").alias("n")))
-    met = cut.select("doc_id", F.filter(F.array(*counts), lambda c: c["n"] > 0).alias("met"))
+    named = cut.select("doc_id", sentences_of(F.col("cut"), known).alias("names"))
+    sequence = F.concat(F.lit("\n"), F.array_join("names", "\n"), F.lit("\n"))
+    places = F.regexp_extract_all(sequence, F.lit(f"\n({any_of(met_by)})(?=\n)"), F.lit(1))
+    met = named.select("doc_id", F.when(F.size("names") > 0, F.transform(places, lambda p: lookup(met_by, p))).otherwise(F.array().cast("array<string>")).alias("met"))
     return met.select(
-        "doc_id",
-        F.array_sort(F.array_distinct(F.col("met.licence"))).alias("licences"),
-        F.aggregate("met.n", F.lit(0).cast("bigint"), lambda a, n: a + n).alias("n_matches"),
+        "doc_id", F.array_sort(F.array_distinct("met")).alias("licences"), F.size("met").cast("bigint").alias("n_matches")
     )

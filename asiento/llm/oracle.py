@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from asiento.llm.licences import RULES, SENTENCES
+from asiento.llm.licence_texts import patterns
 
 FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = rf"regexp_extract_all({FOLD}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -40,34 +40,40 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-_SENTENCES = ", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in SENTENCES.items())
-_RULES = ", ".join(
-    f"({_quoted(licence)}, [{', '.join(map(_quoted, names))}])" for licence, variants in RULES.items() for names in variants
-)
+_RULES = ", ".join(f"({', '.join(map(_quoted, row))})" for row in patterns())
 _PLAIN = r"trim(regexp_replace(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^0-9a-z\x80-\x{{10FFFF}}]+', ' ', 'g'))"
+_SIGN = r"[^0-9A-Za-z\x80-\x{10FFFF}]"
+_MARK = rf"^{_SIGN}*(?:[•‣◦▪·–—]|(?:[0-9]{{1,3}}|[A-Za-z]|[ivxIVX]{{2,4}})[.)])[ \t]+"
 
-# Sentences in order as a list of identifiers ('' if unknown); a rule is looked for at each place.
+# Whole texts are looked for at each piece, as one pattern; what lies inside a longer text that was met is left out.
 LICENCES = rf"""
-WITH known AS (
-  SELECT name, {_PLAIN.format("wording")} AS sentence FROM (VALUES {_SENTENCES}) v(name, wording)
-), rules AS (SELECT * FROM (VALUES {_RULES}) v(licence, names)
+WITH rules AS (SELECT * FROM (VALUES {_RULES}) v(licence, fixed, pattern)
 ), docs AS (
-  SELECT row_number() OVER () AS n, doc_id,
-         list_filter(list_transform(string_split(regexp_replace(coalesce(text, ''), '([.!?:])[ \t]+', '\1' || chr(10), 'g'), chr(10)),
-                     lambda s: {_PLAIN.format("s")}), lambda s: s <> '') AS sentences
-  FROM documents
-), placed AS (
-  SELECT n, i, coalesce(name, '') AS name
-  FROM (SELECT n, unnest(sentences) AS sentence, generate_subscripts(sentences, 1) AS i FROM docs)
-  LEFT JOIN known USING (sentence)
-), listed AS (SELECT n, list(name ORDER BY i) AS names FROM placed GROUP BY n
+  SELECT row_number() OVER () AS n, doc_id, string_split(replace(coalesce(text, ''), 'https://', 'http://'), chr(10)) AS lines FROM documents
+), unmarked AS (
+  SELECT n, list_transform(lines, lambda l, i: CASE
+           WHEN i = 1 OR regexp_matches(lines[i - 1], '[.!?:;]{_SIGN}*$') OR (i > 2 AND regexp_full_match(lines[i - 1], '{_SIGN}*'))
+           THEN regexp_replace(l, '{_MARK}', '') ELSE l END) AS lines FROM docs
+), cut AS (
+  SELECT n, list_filter(list_transform(
+           string_split(regexp_replace(array_to_string(lines, chr(10)), '([.!?:])[ \t]+', '\1' || chr(10), 'g'), chr(10)),
+           lambda s: {_PLAIN.format("s")}), lambda s: s <> '') AS pieces FROM unmarked
+), flat AS (
+  SELECT n, pieces, chr(10) || array_to_string(pieces, chr(10)) || chr(10) AS words FROM cut WHERE len(pieces) > 0
+), candidates AS (
+  SELECT n, words, licence, pattern FROM flat, rules WHERE contains(replace(words, chr(10), ' '), fixed)
+), starts AS (
+  SELECT n, sum(size + 1) OVER (PARTITION BY n ORDER BY i) - size AS start
+  FROM (SELECT n, length(unnest(pieces)) AS size, generate_subscripts(pieces, 1) AS i FROM flat WHERE n IN (SELECT n FROM candidates))
 ), met AS (
-  SELECT n, licence
-  FROM listed, rules, unnest(range(1, len(listed.names) + 1)) AS r(i)
-  WHERE list_slice(listed.names, i, i + len(rules.names) - 1) = rules.names
+  SELECT DISTINCT n, licence, start, start + length(found) - 2 AS stop
+  FROM (SELECT n, licence, start, regexp_extract(substr(words, start::BIGINT, 3000), '^' || pattern) AS found FROM candidates JOIN starts USING (n))
+  WHERE found <> ''
+), longest AS (
+  SELECT n, licence FROM met a
+  WHERE NOT EXISTS (FROM met b WHERE a.n = b.n AND b.start <= a.start AND b.stop >= a.stop AND b.stop - b.start > a.stop - a.start)
 ), found AS (
-  SELECT n, count(*) AS n_matches, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences
-  FROM met GROUP BY n
+  SELECT n, count(*) AS n_matches, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences FROM longest GROUP BY n
 )
 SELECT doc_id, coalesce(licences, '') AS licences, coalesce(n_matches, 0)::BIGINT AS n_matches
 FROM docs LEFT JOIN found USING (n)

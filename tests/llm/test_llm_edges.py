@@ -204,7 +204,7 @@ License, v. 2.0. If a copy of the MPL was not distributed with this
 file, You can obtain one at https://mozilla.org/MPL/2.0/."""
 UNLICENSE = "This is free and unencumbered software released into the public\ndomain."
 STANDARD = {
-    "MIT": (MIT, ["MIT"]), "ISC": (ISC, ["ISC"]), "BSD2": (BSD2, ["BSD-2-Clause"]), "BSD3": (BSD3, ["BSD-2-Clause", "BSD-3-Clause"]),
+    "MIT": (MIT, ["MIT"]), "ISC": (ISC, ["ISC"]), "BSD2": (BSD2, ["BSD-2-Clause"]), "BSD3": (BSD3, ["BSD-3-Clause"]),
     "APACHE": (APACHE, ["Apache-2.0"]), "GPL": (GPL, ["GPL-3.0"]), "MPL": (MPL, ["MPL-2.0"]), "UNLICENSE": (UNLICENSE, ["Unlicense"]),
     "bullets": (BSD2.replace("1.", "\u2022").replace("2.", "*"), ["BSD-2-Clause"]), "letters": (BSD2.replace("1.", "(a)").replace("2.", "(b)"), ["BSD-2-Clause"]),
     "notice": ("Licensed under the Apache\nLicense, Version 2.0.\nThis work is licensed under the GNU General Public License, version\n3. More.", ["Apache-2.0", "GPL-3.0"]),
