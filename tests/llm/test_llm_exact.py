@@ -173,7 +173,7 @@ def test_quality_counts_and_bands(spark, sf_dir, texts):
 # From how many bytes on words of these letters shrink less than language, for each length of words.
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 RANDOM_WORDS = [
-    ("0123456789abcdef", 3072), (LETTERS, 1536), (LETTERS + "0123456789", 1024), (LETTERS + LETTERS.upper() + "0123456789+/", 256),
+    ("0123456789abcdef", 8192), (LETTERS, 4096), (LETTERS + "0123456789", 2048), (LETTERS + LETTERS.upper() + "0123456789+/", 1024),
 ]
 
 
