@@ -231,5 +231,6 @@ def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 2, partitions
     held = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("stay_id"), row_key(F.col("text")).alias("stay_key"))
     both = held["stay_id"].eqNullSafe(stays["stay_id"]) & (held["stay_key"] == stays["stay_key"])
     kept = held.join(stays, both, "left_semi")
-    copy = Window.partitionBy("stay_id", "stay_key").orderBy(F.lit(0))
+    # Copies may differ in other columns: the order of whole rows decides, so a task that runs again keeps the same one.
+    copy = Window.partitionBy("stay_id", "stay_key").orderBy(F.xxhash64(F.to_json("row")))
     return kept.withColumn("copy", F.row_number().over(copy)).where("copy = 1").select("row.*")

@@ -1,0 +1,250 @@
+"""The pipeline stage by stage, and the language model's weights, against plain versions that share no code with them."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+import regex
+import xxhash
+from pyspark.sql import functions as F
+from test_llm_exact import plain_components
+from test_llm_methods import plain_counts
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from asiento.llm import language_id, lm_score
+from asiento.llm.queries import QUERIES
+from asiento.llm.simhash import one_of_each
+from asiento.llm.tables import ship
+
+FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+BARE = " \t\n\x0b\f\r"
+
+
+@pytest.fixture(scope="module")
+def planted(sf_dir, tmp_path_factory):
+    """The small table with what each stage looks for, and its benchmark."""
+    folder = tmp_path_factory.mktemp("planted")
+    docs = pq.read_table(f"{sf_dir}/documents.parquet")
+    benchmark = pq.read_table(f"{sf_dir}/benchmark.parquet")
+    rows = docs.to_pylist()
+    item = max(benchmark["text"].to_pylist(), key=lambda t: len(t.split()))
+    prose = [r["text"] for r in rows if r["lang"] == "en" and 60 < len(r["text"].split()) < 400]
+    add = lambda text, lang="en", source="s": rows.append(
+        {**dict.fromkeys(docs.column_names), "doc_id": 10**6 + len(rows), "text": text, "lang": lang, "source": source, "n_chars": len(text or "")}
+    )
+    for site in range(9):  # a line on nine sites among others, and one on seven
+        add(f"\n{prose[site]}\n  Accept all cookies \nmore of {prose[-site - 1]}", source=f"site {site}")
+        if site < 7:
+            add(f"Seven sites say so\n{prose[site + 9]}", source=f"site {site}")
+    add("Accept all cookies\n \n\tAccept all cookies", source=None)  # nothing else: stays whole
+    for text in prose[:3]:
+        add(text)  # exact copies
+    add(f"{prose[5]}\n{item.upper()}\n{prose[6]}")
+    add(" ".join(item.split()[:9]) + " " + prose[7])
+    for text in (None, "", " \n ", "12 34 ½", "zxqj kwvz qqxz jjkq " * 30, "漢字かな交じり文" * 20):
+        add(text, lang=None)
+    pq.write_table(pa.Table.from_pylist(rows, docs.schema), f"{folder}/documents.parquet")
+    pq.write_table(benchmark, f"{folder}/benchmark.parquet")
+    return str(folder)
+
+
+@pytest.fixture(scope="module")
+def stages(spark, planted):
+    """What went into each stage, and what came out of the last one."""
+    kept = [spark.read.parquet(f"{planted}/documents.parquet")]
+    for name, stage in corpus_pipeline.STAGES:
+        kept.append(corpus_pipeline.write_shared(stage(spark, kept[-1], planted), name))
+    return [[r.asDict() for r in k.collect()] for k in kept]
+
+
+def texts_of(rows):
+    return {r["doc_id"]: r["text"] for r in rows}
+
+
+def rejected_plainly(rows):
+    """Ids that surely go and that surely stay: cosines within 0.002 of a limit or of another language decide nothing."""
+    p = language_id.Parameters()
+    has_letter = lambda t: bool(regex.search(r"\p{L}", t or ""))
+    learned = {(r["lang"], r["text"]) for r in rows if r["lang"] and has_letter(r["text"])}
+    counts = {t: plain_counts(t, p) for t in {r["text"] for r in rows if has_letter(r["text"])}}
+    seen = Counter(slot for _, t in learned for slot in counts[t])
+    idf = np.array([math.log((1 + len(learned)) / (1 + seen[s])) + 1 for s in range(p.slots)])
+    unit = lambda row: row / np.linalg.norm(row)
+
+    def vector(text):
+        row = np.zeros(p.slots)
+        for slot, n in counts[text].items():
+            row[slot] = math.log1p(n) * idf[slot]
+        return unit(row)
+
+    vectors = {t: vector(t) for t in counts}
+    band = {t: sum(len(regex.findall(r"\p{L}", t.lower())) >= b for b in p.bands) for t in counts}
+    centres, limits = {}, {}
+    for lang in {lang for lang, _ in learned}:
+        own = sorted(t for language, t in learned if language == lang)
+        vs = np.array([vectors[t] for t in own])
+        chosen = [unit(vs.mean(axis=0))]
+        while len(chosen) < min(p.centroids, len(vs)):
+            chosen.append(vs[min(range(len(vs)), key=lambda n: max(float(vs[n] @ c) for c in chosen))])
+        for _ in range(p.rounds):
+            nearest = [max(range(len(chosen)), key=lambda c: float(v @ chosen[c])) for v in vs]
+            groups = [[v for v, c in zip(vs, nearest) if c == n] for n in range(len(chosen))]
+            chosen = [unit(np.mean(g, axis=0)) if g else c for g, c in zip(groups, chosen)]
+        centres[lang] = np.array(chosen)
+        best, low, limits[lang] = (vs @ centres[lang].T).max(axis=1), 1.0, {}
+        for b in range(len(p.bands), -1, -1):
+            mine = [c for c, t in zip(best, own) if band[t] == b]
+            low = min(low, float(np.quantile(mine, p.quantile))) if mine else low
+            limits[lang][b] = low * p.margin
+    gone, stay = set(), set()
+    for r in rows:
+        if r["text"] not in vectors:
+            gone.add(r["doc_id"])
+            continue
+        cosine = sorted(((float((centres[c] @ vectors[r["text"]]).max()), c) for c in centres), reverse=True)
+        sides = {best < limits[lang][band[r["text"]]] for best, lang in cosine if best > cosine[0][0] - 2e-3}
+        if len(sides) == 1 and abs(cosine[0][0] - limits[cosine[0][1]][band[r["text"]]]) > 2e-3:
+            (gone if sides.pop() else stay).add(r["doc_id"])
+    return gone, stay
+
+
+def test_language_stage(stages):
+    gone, stay = rejected_plainly(stages[0])
+    kept, before = texts_of(stages[1]), texts_of(stages[0])
+    assert not gone & kept.keys() and stay <= kept.keys() and len(gone) >= 5
+    assert len(before) - len(gone) - len(stay) < 0.05 * len(before)
+    assert all(before[i] == text for i, text in kept.items())
+
+
+def test_line_stage(stages):
+    sites = defaultdict(set)
+    for r in stages[1]:
+        for line in (r["text"] or "").split("\n"):
+            sites[line.strip(BARE)].add(r["source"] or "")
+    common = {line for line, seen in sites.items() if line and len(seen) >= 8}
+    wanted = {}
+    for r in stages[1]:
+        left = "\n".join(line for line in r["text"].split("\n") if line.strip(BARE) not in common)
+        wanted[r["doc_id"]] = left if left.strip(BARE) else r["text"]
+    assert texts_of(stages[2]) == wanted and "Accept all cookies" in common and "Seven sites say so" not in common
+    assert sum(wanted[i] != text for i, text in texts_of(stages[1]).items()) >= 9
+
+
+def plain_print(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text.translate(FOLD))
+    shingles = [" ".join(words[n : n + 3]) for n in range(max(len(words) - 2, 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_simhash_stage(stages):
+    before = texts_of(stages[2])
+    kept = set(plain_components({i: plain_print(t) for i, t in before.items()}).values())
+    assert texts_of(stages[3]) == {i: before[i] for i in kept} and len(kept) < len(before) - 2
+
+
+def test_decontamination_stage(stages, planted):
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(FOLD))
+    windows = set()
+    for item in pq.read_table(f"{planted}/benchmark.parquet")["text"].to_pylist():
+        found = words(item)
+        windows |= {tuple(found[n : n + 10]) for n in range(max(len(found) - 9, 1))} if found else set()
+    sizes = {len(w) for w in windows}
+
+    def clean(text):
+        found = words(text)
+        return not any(tuple(found[n : n + size]) in windows for size in sizes for n in range(len(found) - size + 1))
+
+    before = texts_of(stages[3])
+    wanted = {i: t for i, t in before.items() if clean(t)}
+    assert texts_of(stages[4]) == wanted and len(wanted) < len(before)
+
+
+def test_coding_stage_and_run(spark, stages, planted):
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    library.no_truncation()
+    library.no_padding()
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    wanted = {}
+    for i, text in texts_of(stages[4]).items():
+        ids = library.encode(text, add_special_tokens=False).ids
+        wanted[i] = (len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False)))
+    for rows in (stages[5], [r.asDict() for r in corpus_pipeline.run(spark, planted).collect()]):
+        assert {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in rows} == wanted
+        assert len(rows) == len(wanted)
+
+
+def test_copies_that_differ_elsewhere_leave_the_same_row(spark):
+    ship(spark)
+    text = "the same words under the same number in every copy of the page"
+    rows = [(7, text, f"site {n}", None if n % 2 else {"k": n}) for n in range(40)]
+    kept = set()
+    for order in (rows, rows[::-1], rows[20:] + rows[:20]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, source string, extra map<string,long>").repartition(5)
+        out = one_of_each(docs).collect()
+        assert len(out) == 1
+        kept.add(out[0].source)
+    assert len(kept) == 1
+
+
+def test_scores_recomputed_with_plain_weights(spark, sf_dir):
+    """Counts, expectation-maximisation on the deleted texts and scores of the query, in plain Python."""
+    p = lm_score.Parameters()
+    assert p.order == 2
+    tokens = {r["doc_id"]: ["\r", *r["text"].translate(FOLD).split(), "\n"] for r in pq.read_table(f"{sf_dir}/documents.parquet").to_pylist()}
+    learned = [i for i in tokens if zlib.crc32(str(i).encode()) % 5 != 1]
+    deleted = {i for i in learned if (xxhash.xxh64_intdigest(str(i).encode(), 42) + 2**63) % 2**64 % p.deleted == 2**63 % p.deleted}
+
+    def counted(ids):
+        one, two = Counter(), Counter()
+        for i in ids:
+            one.update(tokens[i][1:])
+            two.update(zip(tokens[i], tokens[i][1:]))
+        return one, two, Counter({"\r": len(ids), **{w: n for w, n in one.items()}})
+
+    def parts(i, counts):
+        one, two, context = counts
+        total = sum(one.values())
+        for before, word in zip(tokens[i], tokens[i][1:]):
+            seen = context[before]
+            yield (seen.bit_length(), 1 / (len(one) + 1), one[word] / total, two[before, word] / seen if seen else 0.0)
+
+    kept = counted([i for i in learned if i not in deleted])
+    cells = defaultdict(list)
+    for i in deleted:
+        for b, *found in parts(i, kept):
+            cells[b].append(found)
+    mix = {}
+    for b, found in cells.items():
+        found, weights = np.array(found), np.full(3, 1 / 3)
+        for _ in range(p.rounds):
+            share = weights * found
+            weights = (share / share.sum(axis=1, keepdims=True)).mean(axis=0)
+            weights = np.maximum(weights, [p.least, 0, 0])
+            weights /= weights.sum()
+        mix[b] = weights
+    for b in range(1, 66):  # empty buckets: as the next lower one
+        mix.setdefault(b, mix.get(b - 1))
+    everything = counted(learned)
+    got = {r.doc_id: r for r in QUERIES["op1_lm_score"](spark, sf_dir).collect()}
+    assert len(deleted) > 10 and got.keys() == tokens.keys()
+    for i in tokens:
+        wanted = sum(math.log10(float(mix[b] @ found)) for b, *found in parts(i, everything))
+        assert got[i].score == pytest.approx(wanted, rel=0.01, abs=0.05)
+
+
+def test_rows_of_the_deleted_part(spark):
+    """The plain version above splits the training texts as the operator does."""
+    part = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(5)) == 0
+    spark_says = {r.id for r in spark.range(200).where(part).collect()}
+    assert spark_says == {i for i in range(200) if (xxhash.xxh64_intdigest(str(i).encode(), 42) + 2**63) % 2**64 % 5 == 2**63 % 5}
