@@ -29,7 +29,7 @@ from asiento.llm.word_bpe import LAST_SPACE, SPACE, Decoder, Encoder, WordBPE, W
 #: Characters of a text that are looked at together.
 SLICE = 1 << 16
 #: Chunks, and pre-tokens, whose ids a Python worker remembers: so many met of late, and as many before.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Characters of the longest chunk that is remembered.
 CHUNK = 64
 #: White space to Python's ``split``, but not to the vocabulary's pattern.
@@ -45,6 +45,9 @@ class Memory(dict):
         super().__init__()
         self.make, self.before = make, {}
 
+    def held(self, key: str) -> tuple[int, ...] | None:
+        return self.get(key, self.before.get(key))
+
     def __missing__(self, key: str) -> tuple[int, ...]:
         found = self.before.get(key)
         if found is None:
@@ -76,7 +79,11 @@ class Coder:
     def of_chunk(self, chunk: str) -> tuple[int, ...]:
         if len(chunk) > CHUNK:
             return tuple(Encoder(self.bpe).feed(chunk, last=True))
-        return tuple(chain.from_iterable(map(self.words.__getitem__, self.bpe.pre_tokens(chunk))))
+        words = self.bpe.pre_tokens(chunk)
+        if len(words) == 1:  # the memory of chunks will hold it
+            known = self.words.held(words[0])
+            return self.emitted(words[0]) if known is None else known
+        return tuple(chain.from_iterable(map(self.words.__getitem__, words)))
 
     def ids(self, text: str) -> Iterator[list[int]]:
         """The ids of a text, stretch by stretch."""
