@@ -147,6 +147,19 @@ def test_without_broadcasts_the_rows_are_the_same(spark, stored, ctx, post):
         same_rows(expected, shuffled)
 
 
+@pytest.mark.parametrize("keys_first", [False, True])
+def test_maps_invoices_and_work_orders_do_not_pass_through_the_driver(spark, sf_dir, ctx, keys_first):
+    """However few bytes their files have: the map unfolds ten rows from each row read."""
+    tables = fixtures.tables(spark, sf_dir, fixtures.INVOICE_TABLES)
+    for slices in (SliceSet.of(spark, [("1997-03-01", 1, "G")]), invoice_calendar(spark)):
+        text = plan(post_invoices(tables, slices, replace(ctx, keys_first=keys_first)), "simple")
+        joins = re.findall(r"(\w+Join) .*(?:pf_id_producto|ot_codigo|fa_numero)#", text)
+        assert "SortMergeJoin" in joins
+        # What is asked for may be broadcast: its files hold numbers only.
+        looked_up = [line for line in text.splitlines() if "BroadcastHashJoin" in line and "asked#" not in line]
+        assert not re.search("pf_id_producto|ot_codigo|fa_numero", " ".join(looked_up))
+
+
 def test_a_hot_product_is_split_over_tasks(spark, ctx):
     """A third of all lines on one product: the join splits it and keeps every row."""
     given = fixtures.tables(
