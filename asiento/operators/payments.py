@@ -7,14 +7,14 @@ turns each form into its postings.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from asiento.context import RunContext
 from asiento.functions.amounts import choose, credit, form_amounts, money
-from asiento.functions.predicates import late_deposit
+from asiento.functions.predicates import definitely, late_deposit
 from asiento.plans.rules import (
     ADVANCE_DOCUMENT,
     ADVANCE_PARAM,
@@ -28,6 +28,7 @@ from asiento.plans.rules import (
     NO_FORM,
     NOT_RECEIVABLE_DOCUMENTS,
     PAYMENT_BRANCHES,
+    RECEIVABLE_BRANCH,
     RECEIVABLE_PARAM,
     FormRule,
 )
@@ -53,7 +54,7 @@ def payment_rows(
         EXT: [r for r in EXT_FORM_RULES if EXT_PREFIX + r.branch in wanted],
     }
     parts = []
-    if "receivable" in wanted:
+    if RECEIVABLE_BRANCH in wanted:
         parts.append(_receivable_rows(tables, slices, ctx))
     if "advance_received" in wanted:
         parts.append(_advance_rows(tables, slices, ctx))
@@ -62,11 +63,39 @@ def payment_rows(
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
-    if ctx.sink_decimal is not None:
-        # The journal's own type, so that the purge of zeros sees what is stored.
-        precision, scale = ctx.sink_decimal
-        rows = rows.withColumn("in_valor", F.col("in_valor").cast(f"decimal({precision},{scale})"))
-    return rows
+    return _as_stored(rows, ctx)
+
+
+def _as_stored(rows: DataFrame, ctx: RunContext) -> DataFrame:
+    """The journal's own type of amounts, so that the purge of zeros sees what is stored."""
+    if ctx.sink_decimal is None:
+        return rows
+    precision, scale = ctx.sink_decimal
+    return rows.withColumn("in_valor", F.col("in_valor").cast(f"decimal({precision},{scale})"))
+
+
+def settled_lines(tables: Tables, slices: SliceSet, ctx: RunContext, purged: DataFrame) -> DataFrame:
+    """Rows of payment lines, less those whose document a run of the line's date purges.
+
+    ``purged`` holds ``purged, purged_on``, each once.
+    """
+    def purge(applied: DataFrame) -> DataFrame:
+        of_day = (F.col("p_numero") == F.col("purged")) & (F.to_date("dp_fecha_documento") == F.col("purged_on"))
+        return applied.join(purged, of_day, "left_anti")
+
+    return _as_stored(_receivable_rows(tables, slices, ctx, purge), ctx)
+
+
+def unpurged_lines(tables: Tables, slices: SliceSet, ctx: RunContext, purged: DataFrame) -> DataFrame:
+    """Rows of payment lines, less those whose document their own run or a later one purges.
+
+    ``purged`` holds ``purged, last_run``, each document once.
+    """
+    def mark(applied: DataFrame) -> DataFrame:
+        return applied.join(purged, F.col("p_numero") == F.col("purged"), "left")
+
+    rows = _receivable_rows(tables, slices, ctx, mark, later=F.col("last_run") >= F.col("slice_id"))
+    return _as_stored(rows, ctx)
 
 
 # -- payments and payment lines ---------------------------------------------------
@@ -78,8 +107,19 @@ def _company_account(tables: Tables, param: int) -> DataFrame:
     )
 
 
-def _receivable_rows(tables: Tables, slices: SliceSet, ctx: RunContext) -> DataFrame:
-    """Payments applied to invoices. Only payment and invoice must be of the slice's company."""
+def _receivable_rows(
+    tables: Tables,
+    slices: SliceSet,
+    ctx: RunContext,
+    purge: Callable[[DataFrame], DataFrame] | None = None,
+    later: Column | None = None,
+) -> DataFrame:
+    """Payments applied to invoices. Only payment and invoice must be of the slice's company.
+
+    A line lies in as many slices as there are calls that replay its date. It takes its slices last, so
+    that it is moved and sorted once; what of a purge needs no slice (``purge``) comes before,
+    and the slices of a line that are purged ``later`` go as it takes them.
+    """
     lines = slices.narrow(tables.payment_line, ctx, fecha="dp_fecha_documento")
     payments = slices.narrow(
         tables.payment.filter(~F.col("p_tipo_docum").isin(*NOT_RECEIVABLE_DOCUMENTS)),
@@ -88,7 +128,8 @@ def _receivable_rows(tables: Tables, slices: SliceSet, ctx: RunContext) -> DataF
         estado="p_estado",
     )
     applied = lines.join(payments, F.col("dp_num_pago") == F.col("p_numero"))
-    applied = slices.select_from(applied, ctx, "dp_fecha_documento", "p_cod_empresa", "p_estado")
+    if purge is not None:
+        applied = purge(applied)
     invoices = slices.narrow(tables.invoice, ctx, empresa="fa_cod_empresa").select(
         "fa_numero", "fa_cod_empresa", "fa_fecha"
     )
@@ -100,6 +141,9 @@ def _receivable_rows(tables: Tables, slices: SliceSet, ctx: RunContext) -> DataF
         _company_account(tables, RECEIVABLE_PARAM),
         F.col("fa_cod_empresa") == F.col("pp_id_empresa"),
     )
+    posted = slices.select_from(posted, ctx, "dp_fecha_documento", "p_cod_empresa", "p_estado")
+    if later is not None:
+        posted = posted.filter(~definitely(later))
     return _to_journal(
         posted,
         ctx,

@@ -76,12 +76,24 @@ def purge_zeros(rows: DataFrame, company: Column) -> DataFrame:
 # -- runs ---------------------------------------------------------------------------
 
 
+def purged_by_day(purged: DataFrame) -> DataFrame:
+    """Each purged document once for each date, with the last run of the date."""
+    # Grouped by the join's keys: repeated payments shrink before they move.
+    return purged.groupBy("purged", "purged_on").agg(F.max("last_run").alias("last_run")).hint("merge")
+
+
+def purged_at_last(purged: DataFrame) -> DataFrame:
+    """Each purged document once, with the last run that purges it.
+
+    Sorted, never broadcast: in files these numbers take a small part of what they take in memory.
+    """
+    return purged.groupBy("purged").agg(F.max("last_run").alias("last_run")).hint("merge")
+
+
 def settle_payments(rows: DataFrame, purged: DataFrame) -> DataFrame:
     """What each payment run leaves of its own rows, run by run."""
-    # Grouped by the join's keys: repeated payments shrink before they move.
-    purged = purged.groupBy("purged", "purged_on").agg(F.max("last_run").alias("last_run"))
     kept = purge_zeros(rows, F.col("slice_empresa"))
-    return purge_documents(kept, purged, F.col("purged_on") == F.col("slice_fecha"))
+    return purge_documents(kept, purged_by_day(purged), F.col("purged_on") == F.col("slice_fecha"))
 
 
 def not_cleared_later(rows: DataFrame, slices: SliceSet) -> DataFrame:
@@ -104,17 +116,19 @@ def apply_invoice_runs(journal: DataFrame, rows: DataFrame, slices: SliceSet) ->
 
 
 def apply_payment_runs(
-    journal: DataFrame, rows: DataFrame, slices: SliceSet, purged: DataFrame
+    journal: DataFrame, rows: DataFrame, slices: SliceSet, purged: DataFrame, lines: DataFrame | None = None
 ) -> DataFrame:
     """The journal after the payment runs of ``slices``, in their order.
 
     ``rows`` are those of the runs' rows that no later run clears; ``purged`` comes from
     ``purged_payments`` for the same slices. Old rows carry a NULL ``slice_id``: they
-    precede every run.
+    precede every run. ``lines`` are rows whose documents are purged already.
     """
     remaining = clear_companies(journal, slices, is_other()).unionByName(
         purge_zeros(rows, F.col("slice_empresa")), allowMissingColumns=True
     )
-    purged = purged.groupBy("purged").agg(F.max("last_run").alias("last_run"))
     since = F.col("slice_id").isNull() | (F.col("last_run") >= F.col("slice_id"))
-    return purge_documents(remaining, purged, since).select(*JOURNAL.names)
+    after = purge_documents(remaining, purged_at_last(purged), since)
+    if lines is not None:
+        after = after.unionByName(purge_zeros(lines, F.col("slice_empresa")), allowMissingColumns=True)
+    return after.select(*JOURNAL.names)

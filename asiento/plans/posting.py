@@ -5,15 +5,19 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from asiento.context import RunContext
 from asiento.operators.invoices import post_invoices
-from asiento.operators.payments import payment_rows
+from asiento.operators.payments import payment_rows, settled_lines, unpurged_lines
 from asiento.operators.reversals import reversal_slices, reversed_documents
 from asiento.operators.state import (
     apply_invoice_runs,
     apply_payment_runs,
     not_cleared_later,
+    purge_zeros,
+    purged_at_last,
+    purged_by_day,
     purged_payments,
     settle_payments,
 )
@@ -21,7 +25,6 @@ from asiento.plans.rules import (
     EXT_BRANCHES,
     EXT_COMPANY,
     OWN_COMPANY_BRANCHES,
-    RECEIVABLE_BRANCH,
     REPLAY_COMPANY,
     REPLAY_USER,
 )
@@ -31,8 +34,10 @@ from asiento.sources.tables import Tables
 
 def post_payments(tables: Tables, slices: SliceSet, ctx: RunContext) -> DataFrame:
     """The rows each payment run posts and keeps after its own purges."""
-    rows = payment_rows(tables, slices, ctx)
-    return settle_payments(rows, purged_payments(tables.payment, slices))
+    purged = purged_payments(tables.payment, slices)
+    others = payment_rows(tables, slices, ctx, [*OWN_COMPANY_BRANCHES, *EXT_BRANCHES])
+    lines = settled_lines(tables, slices, ctx, purged_by_day(purged))
+    return settle_payments(others, purged).unionByName(purge_zeros(lines, F.col("slice_empresa")))
 
 
 def journal_by_slice(tables: Tables, slices: SliceSet, ctx: RunContext) -> DataFrame:
@@ -52,17 +57,23 @@ def lasting_invoices(tables: Tables, slices: SliceSet, ctx: RunContext) -> DataF
 
 
 def lasting_payments(tables: Tables, slices: SliceSet, ctx: RunContext) -> DataFrame:
-    """The payment rows that no later run of ``slices`` clears.
+    """The rows of payments and forms that no later run of ``slices`` clears.
 
     Own forms and advances are of the run's company, and its last run is enough. Forms of
-    the second system are of company 1 and last from its last run on. Payment lines may be
-    of any company: those of every run are compared with the later runs.
+    the second system are of company 1 and last from its last run on.
     """
     own = payment_rows(tables, slices.last_of_companies(), ctx, OWN_COMPANY_BRANCHES)
     ext_slices = slices.since_last_of(EXT_COMPANY)
     ext = payment_rows(tables, ext_slices, ctx, EXT_BRANCHES)
-    lines = payment_rows(tables, slices, ctx, [RECEIVABLE_BRANCH])
-    return own.unionByName(ext).unionByName(not_cleared_later(lines, slices))
+    return own.unionByName(ext)
+
+
+def lasting_lines(tables: Tables, slices: SliceSet, ctx: RunContext, purged: DataFrame) -> DataFrame:
+    """The rows of payment lines that no later run of ``slices`` clears, and no run from their own on purges.
+
+    Lines may be of any company: those of every run are compared with the later runs.
+    """
+    return not_cleared_later(unpurged_lines(tables, slices, ctx, purged_at_last(purged)), slices)
 
 
 def invoices_state(
@@ -76,11 +87,13 @@ def payments_state(
     journal: DataFrame, tables: Tables, slices: SliceSet, ctx: RunContext
 ) -> DataFrame:
     """The journal after the payment runs of ``slices``, in order."""
+    purged = purged_payments(tables.payment, slices)
     return apply_payment_runs(
         journal,
         lasting_payments(tables, slices, ctx),
         slices,
-        purged_payments(tables.payment, slices),
+        purged,
+        lasting_lines(tables, slices, ctx, purged),
     )
 
 

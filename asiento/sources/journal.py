@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from asiento.context import RunContext
 from asiento.operators.state import apply_invoice_runs, apply_payment_runs, is_invoice, is_other, purged_payments
-from asiento.plans.posting import lasting_invoices, lasting_payments, replay_slices
+from asiento.plans.posting import lasting_invoices, lasting_lines, lasting_payments, replay_slices
 from asiento.plans.rules import REPLAY_COMPANY
 from asiento.slices import SliceSet
 from asiento.sources.schemas import JOURNAL
@@ -299,7 +299,8 @@ class JournalTable:
             purged_payments(tables.payment, slices).write.mode("overwrite").parquet(markers)
             purged = self.spark.read.parquet(markers)
             nothing = self.spark.createDataFrame([], self.schema)
-            self._write(apply_payment_runs(nothing, lasting_payments(tables, slices, ctx), slices, purged), run)
+            rows, lines = lasting_payments(tables, slices, ctx), lasting_lines(tables, slices, ctx, purged)
+            self._write(apply_payment_runs(nothing, rows, slices, purged, lines), run)
 
         self._run(OTHERS, stage, slices, once, only_changed)
 

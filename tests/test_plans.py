@@ -10,6 +10,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from asiento.operators import payments, state
 from asiento.operators.invoices import invoice_rows, post_invoices
 from asiento.operators.payments import payment_rows
 from asiento.operators.reversals import reversal_calls, reversed_documents
@@ -308,3 +309,20 @@ def test_no_cross_joins_on_plain_tables(spark, stored, sf_dir, ctx, many):
                 ):
                     text = plan(df, "simple")
                     assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_payment_lines_take_their_slices_last(spark, stored, ctx):
+    """A line that many calls replay is sorted and moved once, with or without purges."""
+    calls = [("2024-01-05", 1, "G")] * 30
+    slices = SliceSet.of(spark, calls)
+    purged = state.purged_payments(stored.payment, slices)
+    for lines in (
+        payment_rows(stored, slices, ctx, ["receivable"]),
+        payments.settled_lines(stored, slices, ctx, state.purged_by_day(purged)),
+        posting.lasting_lines(stored, slices, ctx, purged),
+    ):
+        text = plan(lines, "simple")
+        taken = re.search(r"Join \[[^\]]*\], \[slice_fecha#[^\]]*slice_estado#[^\]]*\], Inner", text)
+        joined = re.search(r"Join \[[^\]]*\], \[(fa_numero|p_numero)#", text)
+        assert taken.start() < joined.start()
+        assert "SortMergeJoin" not in text[: taken.start()]
