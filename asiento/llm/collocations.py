@@ -52,7 +52,7 @@ class Parameters:
     scale: int = 2_000_000
     covered: int = 80  # per cent of a phrase's places that a longer one may take
     top: int = 2000  # of each language
-    block: int = 1 << 20  # words in a block
+    block: int = 1 << 19  # words in a block
     shard: int = 1 << 21  # n-grams in the filters of a shard, before they are merged
     max_log_bits: int = 28
 
@@ -71,6 +71,11 @@ def tokens(text: str) -> Iterator[list[bytes]]:
     yield [BREAK]
 
 
+def place_type(wide: bool) -> type:
+    """How the places of a block's words are stored: most blocks have few enough for 16 bits."""
+    return np.uint32 if wide else np.uint16
+
+
 class _Block:
     """Words of one language, gathered by one task."""
 
@@ -88,15 +93,17 @@ class _Block:
     def row(self, number: int) -> dict:
         stream = np.concatenate(self.parts)
         counts = np.bincount(stream[self.overlap :], minlength=len(self.known))
+        wide = len(self.known) > 1 << 16
         return {
-            "block": number, "lang": self.lang, "overlap": self.overlap, "size": self.size,
-            "words": [w.decode("utf-8", "surrogatepass") for w in self.known][1:], "counts": counts[1:].tolist(), "stream": stream.tobytes(),
+            "block": number, "lang": self.lang, "overlap": self.overlap, "size": self.size, "wide": wide,
+            "words": [w.decode("utf-8", "surrogatepass") for w in self.known][1:], "counts": counts[1:].tolist(),
+            "stream": stream.astype(place_type(wide)).tobytes(),
         }
 
 
-BLOCK = "block long, lang string, overlap int, size long, words array<string>, counts array<long>, stream binary"
+BLOCK = "block long, lang string, overlap int, size long, wide boolean, words array<string>, counts array<long>, stream binary"
 BLOCK_ARROW = pa.schema(
-    [("block", pa.int64()), ("lang", pa.string()), ("overlap", pa.int32()), ("size", pa.int64()), ("words", pa.list_(pa.string())),
+    [("block", pa.int64()), ("lang", pa.string()), ("overlap", pa.int32()), ("size", pa.int64()), ("wide", pa.bool_()), ("words", pa.list_(pa.string())),
      ("counts", pa.list_(pa.int64())), ("stream", pa.binary())]
 )
 
@@ -164,12 +171,12 @@ def streams_of(blocks: DataFrame, words: DataFrame) -> DataFrame:
     asked = blocks.select("block", "lang", F.posexplode("words").alias("place", "word"))
     answers = asked.join(words.select("lang", "word", "id"), ["lang", "word"]).groupBy("block")
     known = answers.agg(F.collect_list(F.struct("place", "id")).alias("known"))  # of the words of one block
-    both = blocks.select("block", "overlap", "stream").join(known, "block")
+    both = blocks.select("block", "overlap", "wide", "stream").join(known, "block")
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                stream = np.frombuffer(batch.column("stream")[row].as_py(), np.int32)
+                stream = np.frombuffer(batch.column("stream")[row].as_py(), place_type(batch.column("wide")[row].as_py()))
                 pairs = batch.column("known")[row].values
                 ids = np.zeros(stream.max(initial=0) + 1, np.uint32)
                 ids[pairs.field("place").to_numpy() + 1] = pairs.field("id").to_numpy()

@@ -89,6 +89,17 @@ def test_collocations_across_blocks_and_slices(spark, monkeypatch, seed):
     assert rows_of(co.collocations(docs, p)) == plain_collocations(rows, p)
 
 
+def test_collocations_of_blocks_with_many_words(spark):
+    """Places of a block's words take 16 bits, and 32 where it has more words than these tell apart."""
+    many = " ".join(f"w{n}" for n in range(70_000))
+    rows = [("aa", f"{many}. w69998 w69999 w3 w4."), ("bb", "one two one two")]
+    docs = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    p = co.Parameters(min_count=2)
+    widths = {r.lang: len(r.stream) // (r.size + r.overlap) for r in co.blocks_of(docs, p).collect()}
+    assert widths == {"aa": 4, "bb": 2}
+    assert rows_of(co.collocations(docs, p)) == plain_collocations(rows, p)
+
+
 def test_collocations_of_nothing(spark):
     for rows in ([], [("en", None)], [("en", "one two three")]):
         assert co.collocations(spark.createDataFrame(rows, "lang string, text string")).collect() == []
