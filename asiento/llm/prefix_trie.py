@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from asiento.llm.tables import fold_of, write_shared
+from asiento.llm.tables import fold_of, streamed, write_shared
 
 CHUNK = 1024  # turns of one conversation that are numbered and digested together
 ENDS = 512  # conversation ids packed in one string
@@ -175,7 +175,7 @@ def sketch_of(prefixes: DataFrame, p: Parameters) -> Sketch:
     at = F.col("cell") + 1  # Spark numbers buckets from 1
     maps = counts.where("n > 1").groupBy(F.bitmap_bucket_number(at).alias("bucket"))
     crowded = bytearray((p.rows << empty.log_width) // 8)
-    for row in maps.agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).toLocalIterator():
+    for row in streamed(maps.agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")), "crowded"):
         start = (row.bucket - 1) * BITS // 8
         crowded[start : start + BITS // 8] = row.bits
     return Sketch(p.rows, empty.log_width, bytes(crowded))

@@ -269,3 +269,21 @@ def test_targets_do_not_depend_on_the_order(spark):
     found = {r.source: r.target for r in mixing.targets(df).collect()}
     assert found == pytest.approx({s: float(t) for s, t in plain_targets(sizes).items()}, rel=1e-12)
     assert all(r.target == 0 for r in mixing.targets(df.withColumn("source_size", F.lit(0).cast("long"))).collect())
+
+
+def test_the_sketch_reaches_the_driver_in_few_jobs(spark, sf_dir):
+    """Not in one job for each partition of the aggregation."""
+    prefixes = spark.range(2000).selectExpr("id % 5 depth", "id % 700 d1", "id d2").unionAll(spark.range(9).selectExpr("id % 5", "id", "id"))
+    before = {key: spark.conf.get(key) for key in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.sparkContext.setJobGroup("sketch", "sketch")
+    try:
+        sketch = prefix_trie.sketch_of(prefixes, prefix_trie.Parameters())
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("sketch")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert any(sketch.crowded)
+    assert len(jobs) < 40
