@@ -26,9 +26,12 @@ from asiento.plans.rules import (
 )
 from asiento.slices import ROW_COLUMNS, SliceSet
 from asiento.sources.schemas import INVOICE_ROW
-from asiento.sources.shared import write_shared
+from asiento.sources.shared import unsized, write_shared
 from asiento.sources.tables import Tables
 
+# Document numbers that may pass through the driver: some 85 bytes each in a broadcast, 5 in a file.
+BROADCAST_NAMES = 200_000
+
 
 def invoice_rows(
     tables: Tables,
@@ -76,7 +79,7 @@ def _rows_by_product(
     if unmapped is not None and len(rules) > 1:
         accounts = accounts.unionByName(_missing_rows(accounts, unmapped.param))
     posted = _lines(tables, slices, ctx).join(
-        _unsized(accounts),
+        unsized(accounts),
         F.col("de_item") == F.col("pf_id_producto"),
         "left" if unmapped is not None else "inner",
     )
@@ -130,36 +133,29 @@ def _insurer_rows(tables: Tables, slices: SliceSet, ctx: RunContext) -> DataFram
     if ctx.keys_first:
         lines = write_shared(lines, "lines")
         invoices = _asked_for(invoices, "fa_numero", lines, "de_numero")
-        invoiced = write_shared(lines.join(_unsized(invoices), of_invoice), "invoiced")
+        invoiced = write_shared(lines.join(unsized(invoices), of_invoice), "invoiced")
         orders = _asked_for(orders, "ot_codigo", invoiced, "fa_ord_tra")
     else:
         # The lines shrink the invoices before these meet the work orders.
-        invoiced = lines.join(_unsized(invoices), of_invoice)
-    insured = invoiced.join(_unsized(orders), of_order)
+        invoiced = lines.join(unsized(invoices), of_invoice)
+    insured = invoiced.join(unsized(orders), of_order)
     posted = insured.join(
-        _unsized(accounts),
+        unsized(accounts),
         (F.col("de_item") == F.col("pf_id_producto"))
         & (F.col("ot_cia_seguros") == F.col("pf_aseguradora")),
     )
     return _to_journal(posted, _amount(rule.amount), ctx)
 
 
-def _unsized(table: DataFrame) -> DataFrame:
-    """A side of a join that grows with the business, and so is sorted, never broadcast.
-
-    Spark judges it by the bytes of its files. Compressed columns, and maps that a query unfolds from
-    fewer rows, take many times that in memory, and a broadcast passes all of it through the driver.
-    """
-    return table.hint("merge")
-
-
 def _asked_for(table: DataFrame, key: str, asking: DataFrame, by: str) -> DataFrame:
     """The rows of ``table`` that ``asking`` names.
 
-    The names are written first: a file of known size, which Spark broadcasts under its threshold,
-    so that other rows of ``table`` are dropped where they are read.
+    The names are written first and counted. Spark broadcasts few of them, so that other rows of
+    ``table`` are dropped where they are read; many are sorted, however small their files.
     """
     asked = write_shared(asking.select(F.col(by).alias("asked")).distinct(), "asked")
+    if asked.count() > BROADCAST_NAMES:
+        asked = unsized(asked)
     return table.join(asked, F.col(key) == F.col("asked"), "left_semi")
 
 

@@ -9,8 +9,9 @@ from dataclasses import replace
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
-from asiento.operators import payments, state
+from asiento.operators import invoices, payments, state
 from asiento.operators.invoices import invoice_rows, post_invoices
 from asiento.operators.payments import payment_rows
 from asiento.operators.reversals import reversal_calls, reversed_documents
@@ -161,6 +162,63 @@ def test_maps_invoices_and_work_orders_do_not_pass_through_the_driver(spark, sf_
         assert not re.search("pf_id_producto|ot_codigo|fa_numero", " ".join(looked_up))
 
 
+def broadcast_files(df):
+    """Files that the plan reads into broadcasts, as Spark makes it from the sizes of files."""
+    found = []
+
+    def walk(node, inside):
+        name = node.nodeName()
+        inside = inside or name.startswith("BroadcastExchange")
+        if inside and name.startswith("Scan"):
+            found.append(node.relation().location().rootPaths().mkString(","))
+        children = node.children()
+        for at in range(children.size()):
+            walk(children.apply(at), inside)
+
+    top = df._jdf.queryExecution().executedPlan()
+    walk(top.initialPlan() if top.nodeName() == "AdaptiveSparkPlan" else top, False)
+    return found
+
+
+@pytest.fixture
+def broadcast(monkeypatch):
+    """Files that are read into broadcasts by any table that is written meanwhile."""
+    found = []
+    write = DataFrameWriter.parquet
+
+    def parquet(writer, *args, **options):
+        found.extend(broadcast_files(writer._df))
+        return write(writer, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    return found
+
+
+SORTED = (
+    "inv_9_post_one_slice_keys_first",
+)
+
+
+@pytest.mark.parametrize("name", SORTED)
+def test_tables_that_grow_do_not_pass_through_the_driver(spark, sf_dir, broadcast, name):
+    """Here all files are so small that Spark broadcasts whatever it may."""
+    found = broadcast_files(QUERIES[name](spark, sf_dir)) + broadcast
+    grow = [file for file in found if re.search(r"/(lineitem|orders|customer|part|events)\.parquet", file)]
+    assert not grow
+
+
+def test_many_names_are_sorted_not_broadcast(spark, stored, ctx, monkeypatch, broadcast):
+    """Names of invoices and work orders take a twentieth in files of what they take in memory."""
+    keys_first, slices = replace(ctx, keys_first=True), invoice_calendar(spark)
+    few = post_invoices(stored, slices, keys_first)
+    assert any("/asked-" in file for file in broadcast) and any("/asked-" in file for file in broadcast_files(few))
+    broadcast.clear()
+    monkeypatch.setattr(invoices, "BROADCAST_NAMES", 1)
+    many = post_invoices(stored, slices, keys_first)
+    assert not any("/asked-" in file for file in broadcast + broadcast_files(many))
+    same_rows(few.drop(*ROW_COLUMNS), many.drop(*ROW_COLUMNS))
+
+
 def test_a_hot_product_is_split_over_tasks(spark, ctx):
     """A third of all lines on one product: the join splits it and keeps every row."""
     given = fixtures.tables(
