@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from asiento.context import RunContext
 from asiento.plans.rules import EXT_COMPANY, REPLAY_COMPANY, REVERSED
 from asiento.slices import Slice, SliceSet
+from asiento.sources.shared import unsized
 from asiento.sources.tables import Tables
 
 SOURCES = ("payments", "invoices", "ext_payments")
@@ -42,7 +43,7 @@ def reversed_documents(
             log = calls.select_from(tables.invoice_reversal, ctx, "rv_fecha", "rv_cod_empresa")
             invoices = tables.invoice.select("fa_numero", "fa_fecha")
             parts.append(
-                log.join(invoices, F.col("rv_num_factura") == F.col("fa_numero")).select(
+                log.join(unsized(invoices), F.col("rv_num_factura") == F.col("fa_numero")).select(
                     *_document("rv_num_factura", "fa_fecha", F.col("rv_cod_empresa"), "rv_user")
                 )
             )
@@ -62,7 +63,7 @@ def reversed_documents(
 
 def _payments(log: DataFrame, payments: DataFrame, company: Column) -> DataFrame:
     found = payments.select("p_numero", "p_fecha")
-    return log.join(found, F.col("rp_num_pago") == F.col("p_numero")).select(
+    return log.join(unsized(found), F.col("rp_num_pago") == F.col("p_numero")).select(
         *_document("rp_num_pago", "p_fecha", company, "rp_user")
     )
 

@@ -207,6 +207,12 @@ def test_tables_that_grow_do_not_pass_through_the_driver(spark, sf_dir, broadcas
     assert not grow
 
 
+@pytest.mark.parametrize("source", ["payments", "invoices", "ext_payments"])
+def test_documents_are_sorted_to_meet_their_reversals(spark, stored, ctx, source):
+    found = broadcast_files(reversed_documents(stored, one_call(spark), ctx, [source]))
+    assert not [file for file in found if "slices" not in file]
+
+
 def test_many_names_are_sorted_not_broadcast(spark, stored, ctx, monkeypatch, broadcast):
     """Names of invoices and work orders take a twentieth in files of what they take in memory."""
     keys_first, slices = replace(ctx, keys_first=True), invoice_calendar(spark)
