@@ -34,6 +34,7 @@ from asiento.plans.rules import (
 )
 from asiento.slices import ROW_COLUMNS, SliceSet
 from asiento.sources.schemas import PAYMENT_ROW
+from asiento.sources.shared import unsized
 from asiento.sources.tables import Tables
 
 OWN, EXT = "own", "ext"
@@ -127,14 +128,14 @@ def _receivable_rows(
         empresa="p_cod_empresa",
         estado="p_estado",
     )
-    applied = lines.join(payments, F.col("dp_num_pago") == F.col("p_numero"))
+    applied = lines.join(unsized(payments), F.col("dp_num_pago") == F.col("p_numero"))
     if purge is not None:
         applied = purge(applied)
     invoices = slices.narrow(tables.invoice, ctx, empresa="fa_cod_empresa").select(
         "fa_numero", "fa_cod_empresa", "fa_fecha"
     )
     posted = applied.join(
-        invoices,
+        unsized(invoices),
         (F.col("dp_num_factura") == F.col("fa_numero"))
         & (F.col("p_cod_empresa") == F.col("fa_cod_empresa")),
     ).join(
