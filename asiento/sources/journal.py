@@ -37,7 +37,7 @@ from asiento.plans.posting import lasting_invoices, lasting_lines, lasting_payme
 from asiento.plans.rules import REPLAY_COMPANY
 from asiento.slices import SliceSet
 from asiento.sources.schemas import JOURNAL
-from asiento.sources.shared import claim, drop, exists, mark, names, read_text, scratch
+from asiento.sources.shared import claim, drop, exists, mark, names, read_text, scratch, unsized
 from asiento.sources.tables import Tables
 
 log = logging.getLogger(__name__)
@@ -225,7 +225,7 @@ class JournalTable:
         for run, version in manifest.markers.items():
             marked = self._markers(run).withColumn("since", F.lit(version))
             purged = marked if purged is None else purged.unionByName(marked)
-        purged = purged.groupBy("purged").agg(F.max("since").alias("since"))
+        purged = unsized(purged.groupBy("purged").agg(F.max("since").alias("since")))
         while older:
             # One scan for all runs; a run whose companies are of several versions takes several.
             layer = {e.run: e for e in reversed(older)}

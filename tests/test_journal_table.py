@@ -178,6 +178,20 @@ def test_compaction_keeps_the_rows(spark, tables, initial, ctx, tmp_path, monkey
     same(table.read(), state)
 
 
+def test_markers_do_not_pass_through_the_driver(spark, billing, initial, ctx, tmp_path):
+    """Purged documents grow with the payments; their files say little of them in memory."""
+    table = JournalTable(spark, str(tmp_path / "journal"))
+    table.create(initial)
+    purging = billing(payment=[dict(p_numero=n, p_tipo_docum=5) for n in range(1, 500)])
+    table.run_payments(purging, SliceSet.of(spark, [("2024-01-05", 9, "G")]), ctx)
+    read = table.read()
+    # Other joins of the plan there are none.
+    text = read._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "Broadcast" not in text
+    left = initial.filter("in_tipo_documento = 6 or in_num_documento >= 500")
+    same(read, left)
+
+
 def test_a_run_during_a_compaction_wins(spark, tables, initial, ctx, tmp_path, monkeypatch):
     table = JournalTable(spark, str(tmp_path / "journal"))
     table.create(initial)
