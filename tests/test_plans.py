@@ -196,8 +196,8 @@ def broadcast(monkeypatch):
 
 SORTED = (
     "inv_9_post_one_slice", "inv_9_post_one_slice_keys_first", "inv_post_all_months", "rvs_6_final_state",
-    "rvs_6_replay", "rvs_6_replay_all_calls", "snk_journal_earlier_version", "snk_journal_invoices",
-    "snk_journal_invoices_in_parts",
+    "rvs_6_replay", "rvs_6_replay_all_calls", "snk_01_replace_invoices", "snk_journal_earlier_version",
+    "snk_journal_invoices", "snk_journal_invoices_in_parts",
 )
 
 
